@@ -18,7 +18,8 @@ def _loaded(df: DataFrame, name: str, kind: str) -> tuple[Column, Column]:
     raw = F.col(name)
     is_text = dict(df.dtypes)[name] == "string"
     if kind == "JSON":
-        return raw, raw.isNotNull() & ~F.coalesce(clean.is_valid_json(raw), F.lit(False))
+        # Text that is no JSON is kept as a JSON string rather than costing the row.
+        return clean.to_json_text(raw), F.lit(False)
     if kind == "STRING":
         return raw.cast("string"), F.lit(False)
     value = raw.try_cast(SPARK_TYPES.get(kind, kind)) if is_text or kind != "DATE" else raw.cast("date")

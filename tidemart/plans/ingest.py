@@ -221,10 +221,8 @@ def product_reviews(docs: DataFrame) -> DataFrame:
     ]
     rows = explode_aligned_sources(page, lists)
 
-    names = {*m.REVIEW_ITEM_FIELDS, *m.REVIEW_PAGE_FIELDS}
-    names |= {alias.split(".")[0] for aliases in m.REVIEW_ALIASES.values() for alias in aliases}
-    item_schema = ", ".join(f"`{n}` string" for n in sorted(names))
-    rows = rows.withColumn("_item", once(F.from_json(F.col("item"), item_schema)))
+    # A map keeps names apart that differ only in case (nickname, nickName).
+    rows = rows.withColumn("_item", once(F.from_json(F.col("item"), "map<string,string>")))
     item = F.col("_item")
     similar = F.col("source").isin(
         *[n for n, s in enumerate(m.REVIEW_SOURCES) if s in (m.PAGE_SIMILAR, m.STORE_SIMILAR)])
