@@ -35,7 +35,9 @@ def scratch(spark: SparkSession) -> str:
 
 
 def _messages(t, table: str | None, expr: str) -> DataFrame:
-    return (t.clean[table] if table else t["events"]).select(F.expr(expr).alias("value"))
+    """Messages spread over all cores, the way a topic's partitions would spread them."""
+    rows = t.clean[table] if table else t["events"]
+    return rows.repartition(t.spark.sparkContext.defaultParallelism).select(F.expr(expr).alias("value"))
 
 
 def _feed(name, feed, table, expr, columns, oracle, side="clean"):
