@@ -59,8 +59,13 @@ class Warehouse:
     # -- writing ---------------------------------------------------------------------------
 
     def _write(self, df: DataFrame, path: str, keys, *partitions: str) -> None:
-        """K6: day partitions, rows spread over a bounded number of files per day by key hash."""
-        spread = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(self.files_per_day))
+        """K6: day partitions, a bounded number of files per day.
+
+        Keyed rows are placed by key hash. Raw rows (no ``keys``) keep the spread they arrive in:
+        one key may own most of them, and a hash would send it all to one task.
+        """
+        place = F.xxhash64(*[F.col(k).cast("string") for k in keys]) if keys else F.spark_partition_id()
+        spread = F.pmod(place, F.lit(self.files_per_day))
         (
             df.repartition("date", spread)
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -69,8 +74,7 @@ class Warehouse:
 
     def append_raw(self, df: DataFrame, table: str, batch_id) -> None:
         """K4/K7: every row, duplicates kept; writing the same batch again replaces it."""
-        keys = TABLES[table].keys
-        self._write(df.withColumn("_batch", F.lit(str(batch_id))), self._path(table, "rows"), keys, "date", "_batch")
+        self._write(df.withColumn("_batch", F.lit(str(batch_id))), self._path(table, "rows"), (), "date", "_batch")
 
     def upsert_latest(self, df: DataFrame, table: str, batch_id, seq: int, order_cols=(), keys=None) -> None:
         """K5/K7: whole-row replacement per key, the later ``seq`` wins, also inside a batch.
