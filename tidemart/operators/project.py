@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions import clean
-from tidemart.functions.jsonpath import DocumentPaths, content, dotted, json_elements, json_get, once
+from tidemart.functions.jsonpath import DocumentPaths, content, dotted, has_content, json_elements, json_get, once
 
 # Page titles that are only the shop's brand, and the column holding one sales tip.
 BRAND_TITLES = ("Temu",)
@@ -83,10 +83,17 @@ def project_by_mapping(df: DataFrame, mapping: dict, types: dict[str, str], doc:
         texts = F.struct(*[paths.text(path).alias(f"{target}_{n}") for target, n, path in flat])
         parsed = parsed.withColumn("_texts", once(texts))
 
+    grouped: dict[str, Column] = {}
+    if mode == "eligible":
+        parsed, grouped = _convert_by_type(parsed, wanted, types, single_paths, keep)
+
     columns = [F.col(name) for name in keep]
     for target, kind in types.items():
         if target in keep:
             continue
+        if target in grouped:
+            columns.append(grouped[target].cast(SPARK_TYPES.get(kind, kind)).alias(target))
+            continue
         sources = wanted.get(target, [])
         values = [F.col(f"_texts.{target}_{n}") for n in range(len(sources))]
         if not sources:
@@ -104,6 +111,35 @@ def project_by_mapping(df: DataFrame, mapping: dict, types: dict[str, str], doc:
     return parsed.select(*columns)
 
 
+def _convert_by_type(parsed: DataFrame, wanted: dict[str, list[str]], types: dict[str, str],
+                     singles: Column | None, keep) -> tuple[DataFrame, dict[str, Column]]:
+    """P8 for all targets of a type at once: one conversion per type instead of one per path.
+
+    A wide mapping would otherwise become a projection of thousands of expressions, which takes
+    longer to build and compile than a micro-batch takes to run.
+    """
+    by_kind: dict[str, list[str]] = {}
+    for target in wanted:
+        if wanted[target] and target not in (*keep, TITLE_COLUMN, TEXT_LIST_COLUMN):
+            by_kind.setdefault(types[target], []).append(target)
+
+    def values(target: str) -> Column:
+        texts = [F.col(f"_texts.{target}_{n}") for n in range(len(wanted[target]))]
+        if types[target] == "JSON":
+            texts = [unless_single(v, path, singles) for v, path in zip(texts, wanted[target])]
+        return F.array(*texts)
+
+    def first_eligible(kind: str):
+        return lambda vs: F.get(F.filter(F.transform(
+            F.filter(vs, has_content), lambda v: clean.CONVERTERS[kind](v)), F.isnotnull), F.lit(0))
+
+    made, places = {}, {}
+    for kind, targets in by_kind.items():
+        made[f"_as_{kind}"] = once(F.transform(F.array(*map(values, targets)), first_eligible(kind)))
+        places.update({t: F.get(F.col(f"_as_{kind}"), F.lit(n)) for n, t in enumerate(targets)})
+    return parsed.withColumns(made) if made else parsed, places
+
+
 SPARK_TYPES = {"JSON": "string", "DATETIME": "timestamp_ntz"}
 
 
