@@ -35,8 +35,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     shape = staged(docs.select(F.length(text).alias("chars"),
                                F.xxhash64(F.substring(text, 1, HEAD_CHARS)).alias("head")))
     shared = shape.groupBy("chars").agg(F.count("*").alias("n")).filter("n > 1").select("chars")
-    heads = (shape.join(shared, "chars", "left_semi").groupBy("chars", "head")
-             .agg(F.count("*").alias("n")).filter("n > 1"))
+    heads = (maybe_member(shape, F.col("chars"), shared, F.col("chars"), "again").filter("again")
+             .groupBy("chars", "head").agg(F.count("*").alias("n")).filter("n > 1"))
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                        F.struct(F.length(text), F.xxhash64(F.substring(text, 1, HEAD_CHARS))).alias("shape"))
