@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -18,7 +19,7 @@ STEP = 8
 #: Pieces of a combination that fills a window.
 DEPTH = 3
 END_ID = 1
-#: Distinct words whose ids a worker remembers before it starts over; results don't depend on it.
+#: Words after which the older half of what a worker remembers goes; results don't depend on it.
 WORDS_KEPT = 400_000
 #: Tokens that may stay empty in a window that is not the last.
 SPARE = 64
@@ -181,27 +182,44 @@ def largest_block(length: int) -> int:
     return ((length - 1) * STEP).bit_length() - 1
 
 
-class WordIds:
-    """Ids of texts as little-endian 32-bit numbers, with the id that ends a document.
+class WordIds(dict):
+    """Ids of words as little-endian 32-bit numbers.
 
-    The tokenizer splits at white space before anything else, so a text's ids are those of its words in
-    turn, and a word that came before costs one look-up.
+    The tokenizer lower-cases and splits at white space before anything else, so a text's ids are those of
+    its words in turn, and a word that came before costs one look-up. The last 400,000 to 800,000 words are
+    remembered.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        super().__init__()
+        self.tokenizer, self.older = Tokenizer.from_file(path), {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            found = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+            ids = np.array(found, "<u4").tobytes()
+        self[word] = ids
+        return ids
 
     def encode(self, text: str | None) -> bytes:
-        words = (text or "").encode("utf-8", "replace").split()
-        known = self.known
-        if len(known) > WORDS_KEPT:
-            known.clear()
-        for word in set(words).difference(known):
-            ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-            known[word] = np.array(ids, "<u4").tobytes()
-        return b"".join([known[word] for word in words]) + np.array([END_ID], "<u4").tobytes()
+        """The ids of a whole text and the one that ends a document."""
+        data = (text or "").encode("utf-8", "replace")
+        if b"<|" not in data:  # the names of special tokens are told by case
+            data = data.lower()
+        ids = b"".join(map(self.__getitem__, data.split()))
+        if len(self) > WORDS_KEPT:
+            self.older = dict(self)
+            self.clear()
+        return ids + np.array([END_ID], "<u4").tobytes()
+
+
+@lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    """One per Python worker, which Spark uses for many tasks."""
+    return WordIds(path)
 
 
 PIECES = "start long, length long, doc_tokens long, crc long, block_crcs array<long>, rest_crcs array<long>"
@@ -215,7 +233,7 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     kind = docs.select(F.col(id_col).alias("id")).schema["id"].dataType
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = WordIds(path)
+        words = word_ids(path)
         for batch in batches:
             rows = []
             for key, text in zip(batch["id"], batch["text"], strict=True):
