@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -18,7 +20,11 @@ WINDOW = 2048
 STEP = 8
 #: Pieces of a combination that fills a window.
 DEPTH = 3
-END_ID = 1
+#: The id that ends a document.
+END = (1).to_bytes(4, "little")
+#: Words the merges can be applied to directly: lower-case Latin-1 letters, digits, signs but the apostrophe.
+PLAIN = re.compile(r"[a-zß-öø-ÿ0-9!-&(-/:-@\[-`{-~]+")
+RUNS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
 #: Words after which the older half of what a worker remembers goes; results don't depend on it.
 WORDS_KEPT = 400_000
 #: Tokens that may stay empty in a window that is not the last.
@@ -187,20 +193,30 @@ class WordIds(dict):
 
     The tokenizer lower-cases and splits at white space before anything else, so a text's ids are those of
     its words in turn, and a word that came before costs one look-up. The last 400,000 to 800,000 words are
-    remembered.
+    remembered. Within a word the tokenizer splits into runs of letters, single digits and runs of other
+    signs; for plain Western words that is done here, which leaves it only the merges.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         super().__init__()
         self.tokenizer, self.older = Tokenizer.from_file(path), {}
+        to_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.to_bytes = {c: to_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(33, 256) if PLAIN.match(chr(c))}
+        self.merge = self.tokenizer.model.tokenize
 
     def __missing__(self, word: bytes) -> bytes:
         ids = self.older.get(word)
         if ids is None:
-            found = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-            ids = np.array(found, "<u4").tobytes()
+            text = word.decode()
+            plain = text.lower()
+            if b"<|" not in word and PLAIN.fullmatch(plain):
+                found = [token.id for run in RUNS.findall(plain) for token in self.merge(run.translate(self.to_bytes))]
+            else:
+                found = self.tokenizer.encode(text, add_special_tokens=False).ids
+            ids = array("I", found).tobytes()
         self[word] = ids
         return ids
 
@@ -213,7 +229,7 @@ class WordIds(dict):
         if len(self) > WORDS_KEPT:
             self.older = dict(self)
             self.clear()
-        return ids + np.array([END_ID], "<u4").tobytes()
+        return ids + END
 
 
 @lru_cache(maxsize=1)
