@@ -21,14 +21,15 @@ from tidemart.llm.exact_dedup import drop_ids
 
 CHUNKS, CHUNK = 12, 6
 SYMBOLS = CHUNKS * CHUNK
-#: Candidates whose signatures agree in fewer symbols are none; at 0.8 that happens once in a hundred million.
-LEAST_EQUAL = SYMBOLS // 2
+#: Candidates that differ in more symbols are none; a pair of 0.8 does so with a probability of 0.000005.
+MOST_ERRORS = 30
 #: Percent of the union that two linked sets share.
 SHARED = 80
 _WORDS_KEPT = 400_000
 _draw = np.random.default_rng(7)
 _FACTORS = _draw.integers(1, 1 << 63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SUMMANDS = _draw.integers(0, 1 << 63, SYMBOLS, dtype=np.uint64)
+_PLACES = np.arange(CHUNK, dtype=np.uint64) * np.uint64(8)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -56,11 +57,13 @@ class Shingles:
         return np.unique(mixed)
 
 
-def signature(shingles: np.ndarray) -> bytes:
+def signature(shingles: np.ndarray) -> np.ndarray:
+    """The chunks of the signature, six symbols in each long."""
     least = np.full(SYMBOLS, np.iinfo(np.uint64).max)
     for at in range(0, len(shingles), 4096):
         least = np.minimum(least, (np.multiply.outer(_FACTORS, shingles[at:at + 4096]) + _SUMMANDS[:, None]).min(axis=1))
-    return (((least ^ (least >> np.uint64(31))) * _MIX) >> np.uint64(56)).astype(np.uint8).tobytes()
+    symbols = ((least ^ (least >> np.uint64(31))) * _MIX) >> np.uint64(56)
+    return (symbols.reshape(CHUNKS, CHUNK) << _PLACES).sum(axis=1).astype(np.int64)
 
 
 def _signed(docs: DataFrame, words: int) -> DataFrame:
@@ -72,9 +75,9 @@ def _signed(docs: DataFrame, words: int) -> DataFrame:
             yield pd.DataFrame({
                 "id": batch["id"], "n": [len(s) for s in sets],
                 "set_hash": [xxhash.xxh3_128_hexdigest(s.tobytes()) for s in sets],
-                "sig": [signature(s) if len(s) else b"" for s in sets]})
+                "sig": [signature(s) for s in sets]})
 
-    return docs.mapInPandas(run, "id string, n long, set_hash string, sig binary")
+    return docs.mapInPandas(run, "id string, n long, set_hash string, sig array<long>")
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
@@ -90,10 +93,24 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _keyed(classes: DataFrame) -> DataFrame:
-    """(key, cls): for each chunk, the chunk without each of its symbols."""
-    keys = F.expr(f"""transform(sequence(0, {SYMBOLS - 1}), j -> xxhash64(j, concat(
-      substring(sig, j - j % {CHUNK} + 1, j % {CHUNK}), substring(sig, j + 2, {CHUNK - 1} - j % {CHUNK}))))""")
-    return classes.select(F.explode(keys).alias("key"), "cls")
+    """(j, key, cls): for each chunk, the chunk without each of its symbols."""
+    keys = F.expr(f"""transform(sequence(0, {SYMBOLS - 1}), j -> named_struct('j', j, 'key', xxhash64(j,
+      sig[j div {CHUNK}] & ~shiftleft(255L, 8 * (j % {CHUNK})))))""")
+    return classes.select(F.explode(keys).alias("k"), "cls").select("k.j", "k.key", "cls")
+
+
+#: The lowest bit of each symbol of a chunk.
+_LOWEST = sum(1 << 8 * i for i in range(CHUNK))
+
+
+def _errors_text(x: str, y: str) -> str:
+    """SQL for the number of symbols in which each chunk of x and y differs."""
+    folded = "{0}"
+    for by in (4, 2, 1):
+        folded = f"({folded} | shiftrightunsigned({folded}, {by}))"
+    # Folding to the right brings bits of the next symbol in, but only above the lowest bit of each.
+    return (f"transform(sequence(0, {CHUNKS - 1}), c -> bit_count("
+            + folded.replace("{0}", f"({x}[c] ^ {y}[c])") + f" & {_LOWEST}L))")
 
 
 def _ordered(a: str, b: str) -> list[Column]:
@@ -137,11 +154,10 @@ class NearGroups:
         """Those of the pairs (a, b) of classes whose sets share enough, counted on the full sets."""
         side = lambda c: self.classes.select(F.col("cls").alias(c), F.col("n").alias(f"n_{c}"),
                                              F.col("sig").alias(f"sig_{c}"))
-        equal = F.expr(f"""aggregate(sequence(1, {SYMBOLS}), 0,
-          (s, i) -> s + if(substring(sig_a, i, 1) = substring(sig_b, i, 1), 1, 0))""")
+        errors = F.aggregate(F.expr(_errors_text("sig_a", "sig_b")), F.lit(0), lambda total, e: total + e)
         near = staged(pairs.join(side("a"), "a").join(side("b"), "b")
                       .filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * SHARED)
-                      .filter(equal >= LEAST_EQUAL).select("a", "b", "n_a", "n_b"))
+                      .filter(errors <= MOST_ERRORS).select("a", "b", "n_a", "n_b"))
         ids = near.select(F.col("a").alias("cls")).union(near.select("b")).distinct()
         wanted = self.classes.join(ids, "cls", "left_semi").select("cls", "id", "set_hash")
         docs = maybe_member(self.docs, F.col("id"), wanted, F.col("id"), "_llm_maybe").filter("_llm_maybe")
@@ -163,7 +179,7 @@ class NearGroups:
             F.min("cls").alias("a"), F.max("cls").alias("b"), F.count("*").alias("n")).filter("n > 1"))
         large = buckets.filter("n > 2").select("key", F.col("a").alias("center"))
         members = maybe_member(self.keyed, F.col("key"), large, F.col("key"), "_llm_maybe").filter("_llm_maybe")
-        members = staged(members.join(large, "key").select("key", "cls", "center"))
+        members = staged(members.join(large, "key").select("key", "j", "cls", "center"))
         pairs = (buckets.filter("n = 2").select("a", "b")
                  .union(members.filter("cls != center").select(*_ordered("cls", "center"))).distinct())
         tried = staged(pairs)
@@ -181,22 +197,32 @@ class NearGroups:
         return links
 
     def _apart(self, members: DataFrame, links: DataFrame) -> DataFrame:
-        """(key, cls, comp, n) of the buckets whose members are in more than one component."""
+        """(key, j, cls, comp, n, sig) of the buckets whose members are in more than one component."""
         known = components(links).withColumnRenamed("node", "cls")
-        now = members.join(known, "cls", "left").select("key", "cls", F.coalesce("root", "cls").alias("comp"))
+        now = members.join(known, "cls", "left").select("key", "j", "cls", F.coalesce("root", "cls").alias("comp"))
         split = now.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x != y")
-        return staged(now.join(split, "key", "left_semi").join(self.classes.select("cls", "n"), "cls"))
+        return staged(now.join(split, "key", "left_semi").join(self.classes.select("cls", "n", "sig"), "cls"))
 
     @staticmethod
     def _all_apart(apart: DataFrame) -> DataFrame:
-        """Pairs of members of different components, of sizes that may share enough."""
-        comps = apart.select("key", "comp").distinct()
-        two = comps.alias("x").join(comps.alias("y"), "key").filter("x.comp < y.comp").select(
-            "key", F.col("x.comp").alias("comp"), F.col("y.comp").alias("other"))
-        left = two.join(apart, ["key", "comp"]).select("key", "other", F.col("cls").alias("l"), F.col("n").alias("m"))
-        right = apart.select("key", F.col("comp").alias("other"), F.col("cls").alias("r"), "n")
-        return (left.join(right, ["key", "other"]).filter(f"least(m, n) * 100 >= greatest(m, n) * {SHARED}")
-                .select(*_ordered("l", "r")))
+        """Pairs of members of different components that size and signature allow, each in the first key it shares.
+
+        Members of the largest component of a bucket meet only those outside it.
+        """
+        main = (apart.groupBy("key", "comp").agg(F.count("*").alias("m")).groupBy("key")
+                .agg(F.max_by("comp", F.struct("m", "comp")).alias("main")))
+        rows = apart.join(main, "key")
+        left = rows.filter("comp != main").select(
+            "key", "j", F.col("comp").alias("comp_x"), F.col("cls").alias("x"), F.col("n").alias("n_x"),
+            F.col("sig").alias("sig_x"))
+        right = rows.select("key", "comp", "main", F.col("cls").alias("y"), F.col("n").alias("n_y"),
+                            F.col("sig").alias("sig_y"))
+        first = f"""forall(slice(e, 1, j div {CHUNK}), v -> v > 1) and (j % {CHUNK} = 0 or e[j div {CHUNK}] = 1)
+          and aggregate(e, 0, (s, v) -> s + v) <= {MOST_ERRORS}"""
+        met = (left["key"] == right["key"]) & F.expr(
+            f"(comp = main or comp_x < comp) and least(n_x, n_y) * 100 >= greatest(n_x, n_y) * {SHARED}")
+        allowed = F.expr(f"exists(array({{errors}}), e -> {first})".replace("{errors}", _errors_text("sig_x", "sig_y")))
+        return left.join(right, met & allowed).select(*_ordered("x", "y"))
 
 
 def near_groups(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
