@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemart.llm import exact_dedup, mixing, near_dedup, packing, sharding, toxicity
+from tidemart.llm import exact_dedup, mixing, near_dedup, packing, sharding, topk, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -10,9 +10,11 @@ QUERIES = {
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_sharding": sharding.op4_sharding,
     "op5_packing": packing.op5_packing,
+    "op6_top_k": topk.op6_top_k,
     "op7_near_dedup": near_dedup.op7_near_dedup,
 }
 ORACLES = {
     "op2_mixing": mixing.ORACLE,
     "op3_exact_dedup": exact_dedup.ORACLE,
+    "op6_top_k": topk.ORACLE,
 }
