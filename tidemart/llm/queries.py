@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from tidemart.llm import exact_dedup, mixing, near_dedup, packing, sharding, topk, toxicity
+from tidemart.llm import (
+    exact_dedup,
+    html_text,
+    language,
+    mixing,
+    near_dedup,
+    packing,
+    passages,
+    sharding,
+    topk,
+    toxicity,
+)
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -12,6 +23,9 @@ QUERIES = {
     "op5_packing": packing.op5_packing,
     "op6_top_k": topk.op6_top_k,
     "op7_near_dedup": near_dedup.op7_near_dedup,
+    "op8_language": language.op8_language,
+    "op9_html_text": html_text.op9_html_text,
+    "op10_passages": passages.op10_passages,
 }
 ORACLES = {
     "op2_mixing": mixing.ORACLE,
