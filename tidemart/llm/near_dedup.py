@@ -25,7 +25,7 @@ SYMBOLS = CHUNKS * CHUNK
 MOST_ERRORS = 30
 #: Percent of the union that two linked sets share.
 SHARED = 80
-_WORDS_KEPT = 400_000
+_WORDS_KEPT = 150_000
 _draw = np.random.default_rng(7)
 _FACTORS = _draw.integers(1, 1 << 63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SUMMANDS = _draw.integers(0, 1 << 63, SYMBOLS, dtype=np.uint64)
