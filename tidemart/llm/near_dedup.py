@@ -25,6 +25,8 @@ SYMBOLS = CHUNKS * CHUNK
 MOST_ERRORS = 30
 #: Percent of the union that two linked sets share.
 SHARED = 80
+#: Members of a bucket from which on pairs are compared in blocks, and members of a block.
+PAIRWISE, BLOCK = 64, 256
 _WORDS_KEPT = 150_000
 _draw = np.random.default_rng(7)
 _FACTORS = _draw.integers(1, 1 << 63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -143,6 +145,26 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _links_between(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """Links between the sets of two blocks, for each left set one with every component that it links to."""
+    found: list[tuple[int, int]] = []
+    if len(left) and len(right):
+        sizes = right["other_hashes"].map(len).to_numpy()
+        owners, hashes = np.repeat(np.arange(len(right)), sizes), np.concatenate(right["other_hashes"].to_list())
+        order = np.argsort(hashes, kind="stable")
+        hashes, owners = hashes[order], owners[order]
+        classes, comps = right["other"].to_numpy(), right["other_comp"].to_numpy()
+        for cls, comp, own in zip(left["cls"], left["comp"], left["hashes"], strict=True):
+            begins, ends = np.searchsorted(hashes, own, "left"), np.searchsorted(hashes, own, "right")
+            counts = ends - begins
+            at = np.arange(counts.sum()) + np.repeat(begins - np.cumsum(counts) + counts, counts)
+            shared = np.bincount(owners[at], minlength=len(right))
+            hit = (shared * 100 >= (len(own) + sizes - shared) * SHARED) & (comps != comp)
+            _, one = np.unique(comps[hit], return_index=True)
+            found += [(min(cls, c), max(cls, c)) for c in classes[hit][one].tolist()]
+    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+
 class NearGroups:
     """The join over the classes of equal sets: ``classes`` (cls, id, set_hash, n, sig) of ``docs`` (id, text)."""
 
@@ -159,21 +181,26 @@ class NearGroups:
                       .filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * SHARED)
                       .filter(errors <= MOST_ERRORS).select("a", "b", "n_a", "n_b"))
         ids = near.select(F.col("a").alias("cls")).union(near.select("b")).distinct()
-        wanted = self.classes.join(ids, "cls", "left_semi").select("cls", "id", "set_hash")
-        docs = maybe_member(self.docs, F.col("id"), wanted, F.col("id"), "_llm_maybe").filter("_llm_maybe")
-        sets = staged(_sets(docs.select("text"), self.words).join(wanted, "set_hash")
-                      .groupBy("cls").agg(F.first("hashes").alias("hashes")))
+        sets = self._sets_of(ids)
         side = lambda c: sets.select(F.col("cls").alias(c), F.col("hashes").alias(f"set_{c}"))
         shared = F.size(F.array_intersect("set_a", "set_b"))
         return staged(near.join(side("a"), "a").join(side("b"), "b")
                       .filter(shared * 100 >= (F.col("n_a") + F.col("n_b") - shared) * SHARED).select("a", "b"))
 
+    def _sets_of(self, ids: DataFrame) -> DataFrame:
+        """(cls, hashes) of the classes ``ids``, from the texts of one document of each."""
+        wanted = self.classes.join(ids, "cls", "left_semi").select("cls", "id", "set_hash")
+        docs = maybe_member(self.docs, F.col("id"), wanted, F.col("id"), "_llm_maybe").filter("_llm_maybe")
+        return staged(_sets(docs.select("text"), self.words).join(wanted, "set_hash")
+                      .groupBy("cls").agg(F.first("hashes").alias("hashes")))
+
     def links(self) -> DataFrame:
         """Confirmed pairs that connect all classes a chain of links connects.
 
         A bucket of m members would give m * m pairs. Instead its members are first compared with its smallest
-        one, then those of a bucket that are not yet connected with one drawn for the bucket, and only pairs
-        that are still apart, a few, are compared each.
+        one, then those of a bucket that are not yet connected with one drawn for the bucket. What is still
+        apart is compared pair by pair in small buckets, and in larger ones block by block inside tasks,
+        which give back only links.
         """
         buckets = staged(self.keyed.groupBy("key").agg(
             F.min("cls").alias("a"), F.max("cls").alias("b"), F.count("*").alias("n")).filter("n > 1"))
@@ -190,7 +217,11 @@ class NearGroups:
                 pick = apart.groupBy("key").agg(F.min_by(F.struct("cls", "comp"), F.xxhash64("key", "cls")).alias("c"))
                 pairs = apart.join(pick, "key").filter("comp != c.comp").select(*_ordered("cls", "c.cls"))
             else:
-                pairs = self._all_apart(apart)
+                count = apart.groupBy("key").agg(F.count("*").alias("m"))
+                crowded = staged(count.filter(F.col("m") > PAIRWISE).select("key"))
+                pairs = self._all_apart(apart.join(crowded, "key", "left_anti"))
+                if not crowded.isEmpty():
+                    links = links.union(self._compared(apart.join(crowded, "key", "left_semi")))
             fresh = staged(pairs.distinct().join(tried, ["a", "b"], "left_anti"))
             if not fresh.isEmpty():
                 tried, links = tried.union(fresh), links.union(self.confirmed(fresh))
@@ -203,6 +234,30 @@ class NearGroups:
         split = now.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x != y")
         return staged(now.join(split, "key", "left_semi").join(self.classes.select("cls", "n", "sig"), "cls"))
 
+    def _compared(self, apart: DataFrame) -> DataFrame:
+        """Links (a, b) between components that meet in the same bucket, one for each class and component.
+
+        Members outside a bucket's largest component meet all members: both are dealt into blocks of about
+        ``BLOCK``, and each pair of blocks is one task's group, however large the bucket.
+        """
+        sets = self._sets_of(apart.select("cls").distinct())
+        main = (apart.groupBy("key", "comp").agg(F.count("*").alias("m")).groupBy("key")
+                .agg(F.max_by("comp", F.struct("m", "comp")).alias("main"), F.sum("m").alias("m"),
+                     F.max("m").alias("most")))
+        main = main.select("key", "main", F.expr(f"int((m - most) div {BLOCK} + 1)").alias("lefts"),
+                           F.expr(f"int(m div {BLOCK} + 1)").alias("rights"))
+        rows = apart.join(main, "key").join(sets, "cls")
+        block = lambda n: F.pmod(F.xxhash64("cls"), F.col(n)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        out = [F.col(c) for c in ("cls", "comp", "hashes")]
+        left = rows.filter("comp != main").select("key", block("lefts").alias("l"), every("rights").alias("r"), *out)
+        # Renamed, so that Spark can tell the two sides of the same rows apart.
+        right = rows.select("key", every("lefts").alias("l"), block("rights").alias("r"), *out).toDF(
+            "right_key", "right_l", "right_r", "other", "other_comp", "other_hashes")
+        right_keys, keys = ("right_key", "right_l", "right_r"), ("key", "l", "r")
+        found = left.groupBy(*keys).cogroup(right.groupBy(*right_keys)).applyInPandas(_links_between, "a long, b long")
+        return staged(found.distinct())
+
     @staticmethod
     def _all_apart(apart: DataFrame) -> DataFrame:
         """Pairs of members of different components that size and signature allow, each in the first key it shares.
