@@ -198,9 +198,8 @@ class NearGroups:
         """Confirmed pairs that connect all classes a chain of links connects.
 
         A bucket of m members would give m * m pairs. Instead its members are first compared with its smallest
-        one, then those of a bucket that are not yet connected with one drawn for the bucket. What is still
-        apart is compared pair by pair in small buckets, and in larger ones block by block inside tasks,
-        which give back only links.
+        one. Those that this leaves in different components are compared pair by pair in small buckets, and
+        in larger ones block by block inside tasks, which give back only links.
         """
         buckets = staged(self.keyed.groupBy("key").agg(
             F.min("cls").alias("a"), F.max("cls").alias("b"), F.count("*").alias("n")).filter("n > 1"))
@@ -211,28 +210,20 @@ class NearGroups:
                  .union(members.filter("cls != center").select(*_ordered("cls", "center"))).distinct())
         tried = staged(pairs)
         links = self.confirmed(tried)
-        for drawn in (True, False):
-            apart = self._apart(members, links)
-            if drawn:
-                pick = apart.groupBy("key").agg(F.min_by(F.struct("cls", "comp"), F.xxhash64("key", "cls")).alias("c"))
-                pairs = apart.join(pick, "key").filter("comp != c.comp").select(*_ordered("cls", "c.cls"))
-            else:
-                count = apart.groupBy("key").agg(F.count("*").alias("m"))
-                crowded = staged(count.filter(F.col("m") > PAIRWISE).select("key"))
-                pairs = self._all_apart(apart.join(crowded, "key", "left_anti"))
-                if not crowded.isEmpty():
-                    links = links.union(self._compared(apart.join(crowded, "key", "left_semi")))
-            fresh = staged(pairs.distinct().join(tried, ["a", "b"], "left_anti"))
-            if not fresh.isEmpty():
-                tried, links = tried.union(fresh), links.union(self.confirmed(fresh))
-        return links
+        apart = self._apart(members, links)
+        few = self._all_apart(apart.filter(F.col("m") <= PAIRWISE))
+        fresh = staged(few.distinct().join(tried, ["a", "b"], "left_anti"))
+        return links.union(self.confirmed(fresh)).union(self._compared(apart.filter(F.col("m") > PAIRWISE)))
 
     def _apart(self, members: DataFrame, links: DataFrame) -> DataFrame:
-        """(key, j, cls, comp, n, sig) of the buckets whose members are in more than one component."""
+        """The members of buckets that hold several components, with the bucket's size m, its largest component
+        main and how many members that has, most: (key, j, cls, comp, m, main, most, n, sig)."""
         known = components(links).withColumnRenamed("node", "cls")
         now = members.join(known, "cls", "left").select("key", "j", "cls", F.coalesce("root", "cls").alias("comp"))
-        split = now.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x != y")
-        return staged(now.join(split, "key", "left_semi").join(self.classes.select("cls", "n", "sig"), "cls"))
+        split = (now.groupBy("key", "comp").agg(F.count("*").alias("x")).groupBy("key")
+                 .agg(F.max_by("comp", F.struct("x", "comp")).alias("main"), F.sum("x").alias("m"),
+                      F.max("x").alias("most"), F.count("*").alias("comps")).filter("comps > 1").drop("comps"))
+        return staged(now.join(split, "key").join(self.classes.select("cls", "n", "sig"), "cls"))
 
     def _compared(self, apart: DataFrame) -> DataFrame:
         """Links (a, b) between components that meet in the same bucket, one for each class and component.
@@ -241,12 +232,8 @@ class NearGroups:
         ``BLOCK``, and each pair of blocks is one task's group, however large the bucket.
         """
         sets = self._sets_of(apart.select("cls").distinct())
-        main = (apart.groupBy("key", "comp").agg(F.count("*").alias("m")).groupBy("key")
-                .agg(F.max_by("comp", F.struct("m", "comp")).alias("main"), F.sum("m").alias("m"),
-                     F.max("m").alias("most")))
-        main = main.select("key", "main", F.expr(f"int((m - most) div {BLOCK} + 1)").alias("lefts"),
-                           F.expr(f"int(m div {BLOCK} + 1)").alias("rights"))
-        rows = apart.join(main, "key").join(sets, "cls")
+        rows = apart.withColumn("lefts", F.expr(f"int((m - most) div {BLOCK} + 1)")) \
+            .withColumn("rights", F.expr(f"int(m div {BLOCK} + 1)")).join(sets, "cls")
         block = lambda n: F.pmod(F.xxhash64("cls"), F.col(n)).cast("int")
         every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
         out = [F.col(c) for c in ("cls", "comp", "hashes")]
@@ -264,13 +251,10 @@ class NearGroups:
 
         Members of the largest component of a bucket meet only those outside it.
         """
-        main = (apart.groupBy("key", "comp").agg(F.count("*").alias("m")).groupBy("key")
-                .agg(F.max_by("comp", F.struct("m", "comp")).alias("main")))
-        rows = apart.join(main, "key")
-        left = rows.filter("comp != main").select(
+        left = apart.filter("comp != main").select(
             "key", "j", F.col("comp").alias("comp_x"), F.col("cls").alias("x"), F.col("n").alias("n_x"),
             F.col("sig").alias("sig_x"))
-        right = rows.select("key", "comp", "main", F.col("cls").alias("y"), F.col("n").alias("n_y"),
+        right = apart.select("key", "comp", "main", F.col("cls").alias("y"), F.col("n").alias("n_y"),
                             F.col("sig").alias("sig_y"))
         first = f"""forall(slice(e, 1, j div {CHUNK}), v -> v > 1) and (j % {CHUNK} = 0 or e[j div {CHUNK}] = 1)
           and aggregate(e, 0, (s, v) -> s + v) <= {MOST_ERRORS}"""
