@@ -94,11 +94,11 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInPandas(run, "set_hash string, hashes array<long>")
 
 
-def _keyed(classes: DataFrame) -> DataFrame:
-    """(j, key, cls): for each chunk, the chunk without each of its symbols."""
+def _keyed(classes: DataFrame, *more: str) -> DataFrame:
+    """(j, key, cls, more columns): for each chunk, the chunk without each of its symbols."""
     keys = F.expr(f"""transform(sequence(0, {SYMBOLS - 1}), j -> named_struct('j', j, 'key', xxhash64(j,
       sig[j div {CHUNK}] & ~shiftleft(255L, 8 * (j % {CHUNK})))))""")
-    return classes.select(F.explode(keys).alias("k"), "cls").select("k.j", "k.key", "cls")
+    return classes.select(F.explode(keys).alias("k"), "cls", *more).select("k.j", "k.key", "cls", *more)
 
 
 #: The lowest bit of each symbol of a chunk.
@@ -204,8 +204,9 @@ class NearGroups:
         buckets = staged(self.keyed.groupBy("key").agg(
             F.min("cls").alias("a"), F.max("cls").alias("b"), F.count("*").alias("n")).filter("n > 1"))
         large = buckets.filter("n > 2").select("key", F.col("a").alias("center"))
-        members = maybe_member(self.keyed, F.col("key"), large, F.col("key"), "_llm_maybe").filter("_llm_maybe")
-        members = staged(members.join(large, "key").select("key", "j", "cls", "center"))
+        members = _keyed(self.classes, "n", "sig")
+        members = maybe_member(members, F.col("key"), large, F.col("key"), "_llm_maybe").filter("_llm_maybe")
+        members = staged(members.join(large, "key").select("key", "j", "cls", "n", "sig", "center"))
         pairs = (buckets.filter("n = 2").select("a", "b")
                  .union(members.filter("cls != center").select(*_ordered("cls", "center"))).distinct())
         tried = staged(pairs)
@@ -219,11 +220,12 @@ class NearGroups:
         """The members of buckets that hold several components, with the bucket's size m, its largest component
         main and how many members that has, most: (key, j, cls, comp, m, main, most, n, sig)."""
         known = components(links).withColumnRenamed("node", "cls")
-        now = members.join(known, "cls", "left").select("key", "j", "cls", F.coalesce("root", "cls").alias("comp"))
+        now = members.join(known, "cls", "left").select(
+            "key", "j", "cls", "n", "sig", F.coalesce("root", "cls").alias("comp"))
         split = (now.groupBy("key", "comp").agg(F.count("*").alias("x")).groupBy("key")
                  .agg(F.max_by("comp", F.struct("x", "comp")).alias("main"), F.sum("x").alias("m"),
                       F.max("x").alias("most"), F.count("*").alias("comps")).filter("comps > 1").drop("comps"))
-        return staged(now.join(split, "key").join(self.classes.select("cls", "n", "sig"), "cls"))
+        return staged(now.join(split, "key"))
 
     def _compared(self, apart: DataFrame) -> DataFrame:
         """Links (a, b) between components that meet in the same bucket, one for each class and component.
