@@ -1,0 +1,9 @@
+import tempfile
+
+import pytest
+
+
+@pytest.fixture(autouse=True)
+def shared_folder(spark):
+    if spark.conf.get("spark.checkpoint.dir", None) is None:
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidemart-tests-"))

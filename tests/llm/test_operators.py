@@ -1,0 +1,267 @@
+"""The operators against brute force on small fixtures with nulls, empty texts, ties and clashing columns."""
+
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemart.llm import (
+    exact_dedup,
+    html_text,
+    language,
+    mixing,
+    near_dedup,
+    packing,
+    passages,
+    sharding,
+    topk,
+    toxicity,
+)
+from tidemart.llm.common import word_count
+
+SCHEMA = "doc_id long, text string, lang string, source string, rank long, size string"
+
+
+def words(seed, n, letters="abcdefgh"):
+    draw = random.Random(seed)
+    return " ".join("".join(draw.choices(letters, k=draw.randint(2, 6))) for _ in range(n))
+
+
+def fixture_rows():
+    base, long = words(1, 120), words(2, 3000)
+    near = base.split()
+    near[7] = "changed"
+    rows = [(1, base, "en", "a"), (2, " ".join(near), "en", "a"), (3, base.replace(" ", "\n\t"), "en", "b"),
+            (4, None, "de", None), (5, "", None, "b"), (6, long, "en", "c"), (7, long, "en", "c"),
+            (7, long, "en", "c"), (8, "one", "en", "a"), (None, "null id", "en", "a"), (9, base.upper(), "en", "b")]
+    rows += [(100 + i, words(i, 5 + 7 * i), "en", "abc"[i % 3]) for i in range(30)]
+    return [(*row, i % 3, "clash") for i, row in enumerate(rows)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(fixture_rows(), SCHEMA)
+
+
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def test_exact(spark, docs):
+    got = {r.doc_id: r for r in exact_dedup.exact_groups(docs, digests=True).collect()}
+    assert (got[1].keep_id, got[1].group_size, got[3].keep_id, got[3].kept) == (1, 2, 1, False)
+    assert (got[5].keep_id, got[5].group_size, got[7].keep_id, got[7].group_size) == (4, 2, 6, 3)
+    assert got[2].keep_id == 2 and got[None].group_size == 1 and all(len(r.text_sha256) == 64 for r in got.values())
+    kept = exact_dedup.exact_dedup(docs)
+    assert kept.columns == docs.columns and kept.count() == docs.count() - 4
+    assert exact_dedup.exact_groups(empty(spark)).count() == 0
+
+
+def test_mixing(spark, docs):
+    rows = mixing.mix_copies(docs, word_count(F.col("text"))).collect()
+    assert len(rows) == docs.count()
+    by = defaultdict(list)
+    for r in rows:
+        by[r.source_size, r.target].append(r)
+        assert r.taken == r.copies * r.size <= 3 * r.size
+    longest = max(r.size for r in rows)
+    for (_, target), own in by.items():
+        assert abs(sum(r.taken for r in own) - target) <= longest
+    assert sum(t for _, t in by) == pytest.approx(sum(r.size for r in rows))
+    taken = mixing.mix(docs, word_count(F.col("text")))
+    assert taken.columns == docs.columns
+    assert mixing.mix_copies(empty(spark), word_count(F.col("text"))).count() == 0
+
+
+def test_sharding(spark, docs):
+    rows = sharding.shard_documents(docs, 4).collect()
+    assert len(rows) == docs.count()
+    shards = defaultdict(list)
+    for r in rows:
+        shards[r.shard].append(r.slot)
+    assert all(sorted(slots) == list(range(len(slots))) for slots in shards.values())
+    assert sharding.shard_documents(empty(spark)).count() == 0
+
+
+def test_sharding_cuts_a_large_group(spark):
+    rows = spark.createDataFrame([(i, "same text") for i in range(900)] + [(1000 + i, words(i, 9)) for i in range(300)],
+                                 "doc_id long, text string")
+    sizes = sharding.shard_documents(rows, 8).groupBy("shard").agg(F.sum("size").alias("s")).collect()
+    assert len(sizes) == 8 and max(r.s for r in sizes) < 1.1 * min(r.s for r in sizes)
+
+
+def test_packing(spark, docs):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows = packing.pack(docs, path).collect()
+    tokenizer = Tokenizer.from_file(path)
+    want = defaultdict(list)
+    for key, text, *_ in fixture_rows():
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
+        want[key].append(np.array(ids, "<u4").tobytes())
+    total = defaultdict(int)
+    for r in rows:
+        total[r.doc_id] += r.length
+        assert r.ids_crc32 in {zlib.crc32(ids[4 * r.start:4 * (r.start + r.length)]) for ids in want[r.doc_id]}
+    assert total == {key: sum(len(ids) for ids in texts) // 4 for key, texts in want.items()}
+    ends = defaultdict(int)
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == ends[r.sequence_id]
+        ends[r.sequence_id] += r.length
+    assert max(ends.values()) <= packing.WINDOW
+    assert packing.pack(empty(spark), path).count() == 0
+
+
+def test_word_ids_equal_the_tokenizers():
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    ids, draw = packing.WordIds(public_tokenizers.path("word_bpe_49k.json")), random.Random(4)
+    signs = "abz ÀéßÿÞ×0 59'’.,!<|>#\n\t\x0b\x85́ΣσςİıªºK漢字'sre"
+    texts = ["".join(draw.choices(signs, k=draw.randint(1, 40))) for _ in range(3000)] + ["a<|endoftext|> <|ENDOFTEXT|>"]
+    for text in texts:
+        want = [*ids.tokenizer.encode(text, add_special_tokens=False).ids, 1]
+        assert ids.encode(text) == np.array(want, "<u4").tobytes()
+
+
+@pytest.mark.parametrize("lengths", [[1100] * 500, [3] * 900, [2048] * 5 + [700] * 60, [1]])
+def test_plan_leaves_little_empty(lengths):
+    histogram = defaultdict(int)
+    for n in lengths:
+        histogram[-(-n // packing.STEP)] += 1
+    plan, filled, rank = packing.Plan(dict(histogram)), defaultdict(int), defaultdict(int)
+    for n in lengths:
+        steps = -(-n // packing.STEP)
+        at, rank[steps] = rank[steps], rank[steps] + 1
+        while (found := plan.find(steps, at))[0] == "split":
+            filled[plan.find_block(*found[1:3])[0]] += 1 << found[1]
+            n, at = n - (1 << found[1]), found[3]
+            steps = -(-n // packing.STEP)
+        filled[found[1]] += n
+    empty_tokens = sum(0 if n & (n - 1) == 0 else packing.WINDOW - n for n in filled.values())
+    assert max(filled.values()) <= packing.WINDOW
+    assert empty_tokens <= packing.WINDOW + 0.1 * sum(lengths) + 8 * len(lengths)
+
+
+def shingles(text, n):
+    parts = (text or "").encode().lower().split()
+    return {tuple(parts[i:i + n]) for i in range(max(1, len(parts) - n + 1))} if parts else set()
+
+
+@pytest.mark.parametrize("n", [2, 5])
+def test_near(spark, docs, n):
+    got = {r.doc_id: r for r in near_dedup.near_groups(docs, n).collect()}
+    sets = {row[0]: shingles(row[1], n) for row in fixture_rows() if row[0] is not None}
+    group = {key: key for key in sets}
+    for _ in sets:
+        for a in sets:
+            for b in sets:
+                if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    group[a] = group[b] = min(group[a], group[b])
+    assert {key: r.component_id for key, r in got.items() if key is not None} == group
+    assert all(got[key].n_shingles == len(s) for key, s in sets.items()) and got[None].kept
+    assert near_dedup.near_groups(empty(spark), n).count() == 0
+
+
+def test_near_crowded_bucket(spark):
+    base = words(3, 150).split()
+    rows = []
+    for i in range(150):
+        draw, text = random.Random(i), list(base)
+        for at in draw.sample(range(len(text)), 3 + i % 18):
+            text[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(text)))
+    got = {r.doc_id: r.component_id for r in near_dedup.near_groups(
+        spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()}
+    sets = {i: shingles(text, 2) for i, text in rows}
+    group = {i: i for i in sets}
+    changed = True
+    while changed:
+        changed = False
+        for a in sets:
+            for b in sets:
+                if group[a] != group[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    group[a] = group[b] = min(group[a], group[b])
+                    changed = True
+    assert got == group
+
+
+def test_top_k(spark):
+    draw = np.random.default_rng(1)
+    vectors = [(i, [float(x) for x in draw.normal(size=8)]) for i in range(250)]
+    vectors += [(300, None), (301, [float("nan")] * 8), (302, [None] * 8), (303, vectors[3][1]), (304, vectors[3][1])]
+    frame = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
+    rows = topk.quantised(frame)
+    got = [tuple(r) for r in topk.top_k(rows, rows.filter("id % 100 = 0")).collect()]
+    exact = {r.id: np.array(r.vector) for r in rows.collect()}
+    want = [(q, k + 1, v, -s) for q in exact if q % 100 == 0
+            for k, (s, v) in enumerate(sorted((-int(exact[q] @ x), v) for v, x in exact.items() if v != q)[:10])]
+    assert sorted(got) == sorted(want)
+    assert topk.top_k(rows.limit(0), rows.limit(0)).count() == 0
+
+
+def test_toxicity(spark):
+    rows = [(i, words(i, 60) + (" scumbag you moron " if i % 4 == 0 else " ") + words(i + 9, 30), i % 3) for i in range(600)]
+    rows += [(1000, None, 0), (1001, "", 0), (None, "x", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score long")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(600)] + [(5000, 1)], "doc_id long, toxic int")
+    got = toxicity.score(docs, toxicity.train(docs, labels)).withColumn("held_out", toxicity.held_out()).collect()
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)
+    held = [r for r in got if r.held_out and r.doc_id is not None and r.doc_id < 600]
+    assert sum(r.predicted == (r.doc_id % 4 == 0) for r in held) >= 0.95 * len(held) > 0
+    none = toxicity.train(docs, labels.limit(0))
+    assert toxicity.score(docs, none).filter("predicted = 1").count() == 0
+    assert toxicity.score(docs.limit(0), none).count() == 0
+
+
+def test_html():
+    draw, pages = random.Random(8), []
+    for i in range(120):
+        inner = "".join(f"<p>{words(90 * i + k, draw.randint(1, 120))}.</p>" for k in range(draw.randint(1, 12)))
+        links = "".join(f"<li><a href=/x>{words(i + k, 1)}</a></li>" for k in range(draw.randint(2, 7)))
+        pages.append(f"<html><body><nav><ul>{links}</ul></nav><div class=ad>{words(i, 12)}</div><article>"
+                     f"<h1>{words(i, 9)}</h1>{inner}</article><footer>{words(i, 9)}</footer></body></html>")
+    model = html_text.train(pages)
+    draw = random.Random(3)
+    body = "".join(f"<p>{words(500 + i, draw.randint(20, 90))} &amp;\n &lt;b&gt;<br>end.</p>" for i in range(6))
+    page = html_text.Page(f"<body><div class=menu><ul><li><a href=/>home</a></ul></div><div class=content>{body}"
+                          f"</div><div class=ad>{words(9, 8)}</div><form><input><p>mail</p></form><!-- x -->"
+                          "<script>var a='</p>'</script><footer>&copy; us</footer>")
+    text = page.text(model.probability(np.array(page.features(), float)))
+    draw = random.Random(3)
+    assert text.split("\n\n") == [f"{words(500 + i, draw.randint(20, 90))} & <b> end." for i in range(6)]
+
+
+def test_html_frames(spark):
+    pages = spark.createDataFrame([(1, "u", None), (2, None, ""), (3, "v", "<p>text")], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract(pages, None, ["page_id"]).collect()}
+    assert got == {"1": "", "2": "", "3": "text"}
+    assert html_text.extract(pages.limit(0), None, ["page_id"]).count() == 0
+
+
+def test_language(spark):
+    docs = spark.createDataFrame([(i, words(i, 80, "abcdef" if i % 2 else "uvwxyz"), "aa" if i % 2 else "uu") for i in range(40)],
+                                 "doc_id long, text string, lang string")
+    pages = spark.createDataFrame(
+        [(i, f"http://h{i % 2}.test/x", f"<html lang={'aa' if i % 2 else 'uu'}><p>{words(i + 99, 40, 'abcdef' if i % 2 else 'uvwxyz')}")
+         for i in range(30)] + [(50, "http://h1.test/y", ""), (51, None, None)], "page_id long, url string, html string")
+    got = {r.page_id: r for r in language.identify(pages, docs).collect()}
+    assert all(got[i].lang == ("aa" if i % 2 else "uu") for i in range(30))
+    assert got[50].lang == "aa" and got[51].host == "" and 0 < got[51].probability <= 1
+    assert language.identify(pages.limit(0), docs).count() == 0
+    assert language.identify(pages, docs.limit(0)).filter("lang is null").count() == 32
+
+
+def test_passages(spark, docs):
+    shared = words(77, 70)
+    rows = [(i, words(200 + i, 40) + " " + shared + " " + words(300 + i, 30)) for i in range(6)]
+    rows += [(10, "and " * 90), (11, "and " * 80), (12, words(5, 200)), (None, shared), (13, None), (14, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = passages.repeated_passages(frame).collect()
+    assert {(r.doc_id, r.ref_id) for r in got} == {(i, 0) for i in range(1, 6)} | {(11, 10)}
+    assert all(r.first_word <= 40 and r.end_word >= 110 for r in got if r.doc_id < 6)
+    assert passages.repeated_passages(frame.limit(0)).count() == 0
+    assert {r.doc_id for r in passages.repeated_passages(docs).collect()} >= {2, 3, 7, 9}
