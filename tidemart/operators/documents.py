@@ -33,6 +33,9 @@ def _unescape(match):
     return chr(int(code[1:], 16)) if len(code) == 5 else _ESCAPES.get(code, code)
 
 
+_COLON = re.compile(r"\s*:")
+
+
 def _to_strict(text: str) -> str:
     """Rewrite relaxed JSON (Python words, single quotes, bare names, trailing commas) as JSON."""
 
@@ -43,7 +46,7 @@ def _to_strict(text: str) -> str:
         if kind == "word":
             if found in _WORDS:
                 return _WORDS[found]
-            named = re.match(r"\s*:", text[match.end():match.end() + 64])
+            named = _COLON.match(text, match.end())
             return json.dumps(found) if named else found
         body = found[1:-1]
         if any(ord(ch) < 32 for ch in body):

@@ -29,8 +29,12 @@ _REGION = """'"webLayoutData":{"headerData":{"region":{"regionInfo":{"siteId":',
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder under the shared one the session names; a local one only where none is named."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemart-")
+    """A new folder under the shared one the session names; a local one only where none is named on a local master."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="tidemart-")
     return f"{base.rstrip('/')}/run-{uuid.uuid4().hex}"
 
 
@@ -64,12 +68,12 @@ SELECT mallId, siteId, {_BIZ} AS date, mallName, 1100 + goodsNum AS goodsNum,
 FROM dwd_malls_base""".replace("{{", "{").replace("}}", "}")))
 
 _feed("i2_product_categories", "product_categories", "dwd_goods_base", f"""concat(
-  '{{"serverTime":', salesNum, ',"crumbOptList":', crumbOptList, ',', {_REGION}, '}}')""",
+  '{{"serverTime":', coalesce(cast(salesNum AS STRING), 'null'), ',"crumbOptList":', crumbOptList, ',', {_REGION}, '}}')""",
       ["date", "optId", "siteId", "catId"], with_tables(_GOODS, f"""
 SELECT {_BIZ} AS date, TRY_CAST(id AS INT) AS optId, CAST(siteId AS INT) AS siteId, id AS catId FROM (
   SELECT siteId, json_extract_string(list[i], '$.optId') AS id FROM (
-    SELECT siteId, from_json(crumbOptList, '["json"]') AS list, unnest(generate_series(1, 5)) AS i FROM dwd_goods_base
-    WHERE salesNum IS NOT NULL) WHERE i <= len(list)) WHERE TRY_CAST(id AS INT) IS NOT NULL"""))
+    SELECT siteId, from_json(crumbOptList, '["json"]') AS list, unnest(generate_series(1, 5)) AS i FROM dwd_goods_base)
+  WHERE i <= len(list)) WHERE TRY_CAST(id AS INT) IS NOT NULL"""))
 
 _PRODUCT = f"""concat('{{"goods":{{"goodsId":', goodsId, ',"goodsName":"',
   CASE WHEN goodsId % 5 = 0 THEN 'Temu' ELSE title END, '","thumbUrl":"', coalesce(thumbUrl, ''), '","catId":', catId,

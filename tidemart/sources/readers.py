@@ -70,7 +70,7 @@ def read_source(spark: SparkSession, kind: str, location: str, topic: str | None
     if kind == "kafka":
         reader = (
             spark.readStream.format("kafka").option("kafka.bootstrap.servers", location)
-            .option("subscribe", topic).option("startingOffsets", starting).option("failOnDataLoss", "false")
+            .option("subscribe", topic).option("startingOffsets", starting).option("failOnDataLoss", "true")
         )
         if group:
             reader = reader.option("kafka.group.id", group)
