@@ -46,6 +46,35 @@ def test_upsert_replay_and_merge(spark, warehouse):
     assert "PartitionFilters: [isnotnull(date" in plan or "PartitionFilters: [(date" in plan or "date#" in plan
 
 
+def test_replay_after_merge_and_writers_with_one_id(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    old = sites(spark, (1, "2024-01-01", 1, "old"), (3, "2024-01-03", 1, "far"), (4, None, 1, "undated"))
+    warehouse.upsert_latest(old, "dwd_site_base", 7, 1, writer="feedA")
+    warehouse.upsert_latest(sites(spark, (1, "2024-01-01", 1, "new")), "dwd_site_base", 7, 2, writer="feedB")
+    want = [(1, "2024-01-01", "new"), (3, "2024-01-03", "far"), (4, "None", "undated")]
+    assert names(warehouse.scan("dwd_site_base")) == want
+    assert warehouse.compact("dwd_site_base") == 3
+    assert names(warehouse.scan("dwd_site_base")) == want
+    warehouse.upsert_latest(old, "dwd_site_base", 7, 1, writer="feedA")
+    assert names(warehouse.scan("dwd_site_base")) == want
+    assert warehouse.compact("dwd_site_base") == 3
+    assert names(warehouse.scan("dwd_site_base")) == want
+
+
+def test_wide_day_is_written_by_many_tasks(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    rows = spark.range(0, 60000, 1, 40).selectExpr(
+        "int(id) siteId", "date'2024-01-01' date", "1 regionId", "sha2(string(id), 256) regionName")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        warehouse.append_raw(rows, "ods_site_raw", "f-0")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    written = warehouse.scan("ods_site_raw")
+    assert written.count() == 60000
+    assert written.select(F.input_file_name()).distinct().count() > 16
+
+
 def test_last_row_of_a_batch_wins(spark, warehouse):
     rows = sites(spark, (1, "2024-01-01", 1, "x"), (1, "2024-01-01", 1, "y")).coalesce(1)
     rows = rows.withColumn("_arrival", F.monotonically_increasing_id())

@@ -180,7 +180,7 @@ def _typed(t, standin: str, table: str) -> DataFrame:
 
 
 def _warehouse(t) -> Warehouse:
-    return Warehouse(t.spark, scratch(t.spark), files_per_day=4)
+    return Warehouse(t.spark, scratch(t.spark))
 
 
 on("k3_jsonl_backfill", lambda t: backfill_lines(_messages(t, None, """CASE event_id % 3 WHEN 0 THEN '   '
@@ -218,12 +218,36 @@ on("k5_upsert_latest", _k5, _K5)
 on("k5_upsert_merged", lambda t: _k5(t, merge=True), _K5)
 
 
+def _k5_replayed(t):
+    """Old and new rows are merged, then the older batch is replayed: the new rows stay."""
+    wh, rows = _warehouse(t), _typed(t, "dwd_goods_base", "dwd_goods_base")
+    renamed = rows.where("siteId = 0").withColumn("title", F.concat(F.lit("new "), "title"))
+    wh.upsert_latest(rows, "dwd_goods_base", 7, 1, writer="feedA")
+    wh.upsert_latest(renamed, "dwd_goods_base", 3, 2, writer="feedB")
+    wh.compact("dwd_goods_base")
+    wh.upsert_latest(rows, "dwd_goods_base", 7, 1, writer="feedA")
+    return wh.scan("dwd_goods_base").select("goodsId", "siteId", "date", "title", "salesNum")
+
+
+def _k5_writers(t):
+    """Two writers use the same batch id; neither replaces the other's rows."""
+    wh, rows = _warehouse(t), _typed(t, "dwd_goods_base", "dwd_goods_base")
+    renamed = rows.where("siteId = 0").withColumn("title", F.concat(F.lit("new "), "title"))
+    wh.upsert_latest(renamed, "dwd_goods_base", 5, 2, writer="feedB")
+    wh.upsert_latest(rows, "dwd_goods_base", 5, 1, writer="feedA")
+    return wh.scan("dwd_goods_base").select("goodsId", "siteId", "date", "title", "salesNum")
+
+
+on("k5_replayed_after_merge", _k5_replayed, _K5)
+on("k5_two_writers", _k5_writers, _K5)
+
+
 def _k6(t):
     wh = _warehouse(t)
     wh.append_raw(_typed(t, "dwd_review_base", "ods_review_raw"), "ods_review_raw", "feed-0")
     files = wh.scan("ods_review_raw").select("date", F.input_file_name().alias("file"))
     return files.groupBy("date").agg(
-        F.count("*").alias("n"), (F.count_distinct("file") <= wh.files_per_day).alias("few_files"))
+        F.count("*").alias("n"), (F.count_distinct("file") <= 4).alias("few_files"))
 
 
 on("k6_day_layout", _k6, "SELECT CAST(ts AS DATE) AS date, count(*) AS n, true AS few_files FROM events GROUP BY ALL")

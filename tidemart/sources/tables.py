@@ -5,15 +5,16 @@ with the batches written since. Writing a batch costs what the batch holds, howe
 partitions are; readers take the newest row per key, and ``compact`` folds batches into the merged
 part. Where a lakehouse catalog is available its MERGE does the same.
 
-A batch is written to partitions that carry its own name, replacing them: a batch that is replayed
-after a failure leaves the table as if it had been written once.
+A batch is written to partitions that carry its writer's name and its own, replacing them: a batch that
+is replayed after a failure leaves the table as if it had been written once. The merged part keeps
+the write order of every row, so a replay after a merge doesn't put older rows back.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,11 +22,26 @@ from tidemart.operators.keyed import latest_per_key
 from tidemart.operators.quality import write_audit
 from tidemart.schemas import TABLES, Table
 
-FILES_PER_DAY = 16
+#: Directory name of a partition without a value.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+SEQ = T.StructField("_seq", T.LongType())
+
+
+def _on(days: list[str]) -> Column:
+    """Rows of the days, given as the names of their partitions."""
+    known = [dt.date.fromisoformat(day) for day in days if day != NO_DAY]
+    return F.when(F.col("date").isNull(), F.lit(NO_DAY in days)).otherwise(F.col("date").isin(known))
+
+
+def _batch(batch_id, writer: str) -> Column:
+    return F.lit(f"{writer}@{batch_id}" if writer else str(batch_id))
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str, files_per_day: int = FILES_PER_DAY):
+    """Tables below ``root``. ``files_per_day`` bounds the files, and with them the tasks, that write a day;
+    by default the measured size decides."""
+
+    def __init__(self, spark: SparkSession, root: str, files_per_day: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.files_per_day = files_per_day
@@ -59,33 +75,38 @@ class Warehouse:
     # -- writing ---------------------------------------------------------------------------
 
     def _write(self, df: DataFrame, path: str, keys, *partitions: str) -> None:
-        """K6: day partitions, a bounded number of files per day.
+        """K6: day partitions. A large day is split over as many tasks as its size asks for and small ones share a task.
 
-        Keyed rows are placed by key hash. Raw rows (no ``keys``) keep the spread they arrive in:
-        one key may own most of them, and a hash would send it all to one task.
+        With a bound on the files, keyed rows are placed by key hash. Raw rows (no ``keys``) keep the spread
+        they arrive in: one key may own most of them, and a hash would send it all to one task.
         """
-        place = F.xxhash64(*[F.col(k).cast("string") for k in keys]) if keys else F.spark_partition_id()
-        spread = F.pmod(place, F.lit(self.files_per_day))
+        if self.files_per_day is None:
+            placed = df.hint("rebalance", *[F.col(p) for p in partitions])
+        else:
+            place = F.xxhash64(*[F.col(k).cast("string") for k in keys]) if keys else F.spark_partition_id()
+            placed = df.repartition("date", F.pmod(place, F.lit(self.files_per_day)))
         (
-            df.repartition("date", spread)
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy(*partitions).parquet(path)
         )
 
-    def append_raw(self, df: DataFrame, table: str, batch_id) -> None:
-        """K4/K7: every row, duplicates kept; writing the same batch again replaces it."""
-        self._write(df.withColumn("_batch", F.lit(str(batch_id))), self._path(table, "rows"), (), "date", "_batch")
+    def append_raw(self, df: DataFrame, table: str, batch_id, writer: str = "") -> None:
+        """K4/K7: every row, duplicates kept; writing the same batch of the same writer again replaces it."""
+        rows = df.withColumn("_batch", _batch(batch_id, writer))
+        self._write(rows, self._path(table, "rows"), (), "date", "_batch")
 
-    def upsert_latest(self, df: DataFrame, table: str, batch_id, seq: int, order_cols=(), keys=None) -> None:
+    def upsert_latest(self, df: DataFrame, table: str, batch_id, seq: int, order_cols=(), keys=None,
+                      writer: str = "") -> None:
         """K5/K7: whole-row replacement per key, the later ``seq`` wins, also inside a batch.
 
         ``order_cols`` tell the last row of a key within the batch; ``seq`` grows with write time
-        and is the same when a batch is replayed.
+        and is the same when a batch is replayed. Writers that share a table give their names, for
+        each counts its own batches; a batch replaces only its own writer's batch of that id.
         """
         keys = keys or TABLES[table].keys
         if order_cols:
             df = latest_per_key(df, keys, order_cols).drop(*[c for c in order_cols if c.startswith("_")])
-        rows = df.withColumns({"_seq": F.lit(seq).cast("bigint"), "_batch": F.lit(str(batch_id))})
+        rows = df.withColumns({"_seq": F.lit(seq).cast("bigint"), "_batch": _batch(batch_id, writer)})
         self._write(rows, self._path(table, "batches"), keys, "date", "_batch")
 
     def audit(self, df: DataFrame, layer: str, table: str, batch_id) -> None:
@@ -121,20 +142,23 @@ class Warehouse:
             rows = self._read(table, "rows", T.StructField("_batch", T.StringType()))
             rows = self.spark.createDataFrame([], table.schema) if rows is None else rows.drop("_batch")
             return rows if dates is None else rows.where(F.col("date").isin(list(dates)))
-        seq = T.StructField("_seq", T.LongType())
-        merged = self._read(table, "merged")
-        batches = self._read(table, "batches", seq)
-        parts = []
+        rows = self._latest(table, dates)
+        return self.spark.createDataFrame([], table.schema) if rows is None else rows.drop("_seq")
+
+    def _latest(self, table: Table, dates=None) -> DataFrame | None:
+        """The newest row per key with its ``_seq``; only days written since the last merge are ranked."""
+        merged, batches = self._read(table, "merged", SEQ), self._read(table, "batches", SEQ)
+        days = sorted({day.removeprefix("date=") for day, _ in self._batches(table.name)})
+        wanted = F.lit(True) if dates is None else F.col("date").isin(list(dates))
         if merged is not None:
-            parts.append(merged.withColumn("_seq", F.lit(-1).cast("bigint")) if batches is not None else merged)
-        if batches is not None:
-            parts.append(batches.drop("_batch"))
-        if not parts:
-            return self.spark.createDataFrame([], table.schema)
-        rows = reduce(DataFrame.unionByName, parts)
-        if dates is not None:
-            rows = rows.where(F.col("date").isin(list(dates)))
-        return rows if batches is None else latest_per_key(rows, table.keys, ["_seq"]).drop("_seq")
+            merged = merged.where(wanted)
+        if not days:
+            return merged
+        fresh = batches.drop("_batch").where(wanted)
+        if merged is None:
+            return latest_per_key(fresh, table.keys, ["_seq"])
+        touched = latest_per_key(merged.where(_on(days)).unionByName(fresh), table.keys, ["_seq"])
+        return merged.where(~_on(days)).unionByName(touched)
 
     def tables(self):
         """All tables by name, for the daily builds."""
@@ -154,7 +178,7 @@ class Warehouse:
             return 0
         days = sorted({day.removeprefix("date=") for day, _ in batches})
         staged = self._path(name, "staged")
-        rows = self.scan(name, [F.lit(d).cast("date") for d in days])
+        rows = self._latest(TABLES[name]).where(_on(days))
         self._write(rows, f"{staged}/rows", TABLES[name].keys, "date")
         done = self.spark.createDataFrame(batches, "day string, batch string")
         done.coalesce(1).write.mode("overwrite").parquet(f"{staged}/batches")
@@ -165,7 +189,7 @@ class Warehouse:
         staged = self._path(name, "staged")
         if not self._exists(f"{staged}/batches/_SUCCESS"):
             return
-        schema = TABLES[name].schema
+        schema = T.StructType([*TABLES[name].schema.fields, SEQ])
         rows = self.spark.read.schema(schema).parquet(f"{staged}/rows")
         self._write(rows, self._path(name, "merged"), TABLES[name].keys, "date")
         for entry in self.spark.read.parquet(f"{staged}/batches").toLocalIterator():
