@@ -56,8 +56,8 @@ def revenue(sold: Column, *prices: Column) -> Column:
 
 
 def to_units(minor: Column) -> Column:
-    """A10: minor units as an amount with two decimals."""
-    return F.round(minor.cast("decimal(25,0)") / F.lit(100).cast("decimal(3,0)"), 2).cast("decimal(20,2)")
+    """A10: minor units as an amount with two decimals; NULL where it has more digits than that type."""
+    return F.round(minor.try_cast("decimal(25,0)") / F.lit(100).cast("decimal(3,0)"), 2).try_cast("decimal(20,2)")
 
 
 def daily_metrics(df: DataFrame, keys, id_col: str, sums: dict[str, Column] | None = None,

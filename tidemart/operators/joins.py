@@ -33,17 +33,16 @@ def with_parameter(df: DataFrame, name: str, value, kind: str = "date") -> DataF
 
 
 def listed_ids(list_text: Column, field: str) -> Column:
-    """Ids named by the objects of a JSON list, only where the id is a JSON number.
+    """Ids named by the objects of a JSON list, only where the id itself is a whole JSON number.
 
-    The whole value is compared, so ``"5"`` does not name 5; each id counts once.
+    The whole value is compared, so neither ``"5"`` nor 5.5 names 5; each id counts once.
     """
     entries = json_elements(list_text)
     kinds = F.transform(entries, lambda e: F.struct(
         F.try_variant_get(F.try_parse_json(e), f"$.{field}", "bigint").alias("id"),
-        F.schema_of_variant(F.try_parse_json(e)).alias("shape"),
+        F.schema_of_variant(F.try_variant_get(F.try_parse_json(e), f"$.{field}", "variant")).alias("kind"),
     ))
-    # A schema names the field's type: `field: BIGINT` or `field: DECIMAL(..)`, never STRING.
-    numeric = F.filter(kinds, lambda k: k.shape.rlike(rf"[<\s]{field}: (BIGINT|DECIMAL)"))
+    numeric = F.filter(kinds, lambda k: k.kind.rlike(r"^(BIGINT|DECIMAL\(\d+,\s*0\))$"))
     return F.array_distinct(F.filter(F.transform(numeric, lambda k: k.id), lambda i: i.isNotNull()))
 
 

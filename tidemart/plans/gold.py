@@ -7,6 +7,7 @@ daily tables define them differently, and are not meant to be merged.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,6 +22,7 @@ from tidemart.operators.filters import for_day, keep_required
 from tidemart.operators.joins import count_listing, enrich, explode_listed, stored_minimum
 from tidemart.operators.keyed import date_spine, epoch_day, first_seen
 from tidemart.schemas import TABLES
+from tidemart.sources.tables import Warehouse
 
 Tables = Mapping[str, DataFrame]
 _GOODS = ["goodsId", "siteId"]
@@ -28,8 +30,14 @@ _MALL = ["mallId", "siteId"]
 
 
 def _shaped(df: DataFrame, table: str) -> DataFrame:
+    """The table's columns; a value that its type can't hold is NULL and doesn't stop the build."""
     schema = TABLES[table].schema
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
+
+
+def _wide(name: str) -> Column:
+    """A whole number whose products and sums don't overflow."""
+    return F.col(name).cast("decimal(19,0)")
 
 
 # -- products ----------------------------------------------------------------------------------
@@ -181,7 +189,7 @@ def build_malls_daily(tables: Tables, biz_date=None) -> DataFrame:
     sales = (
         sales_rows.where("mallId is not null and siteId is not null and goodsId is not null")
         .groupBy("mallId", "siteId", "date")
-        .agg(F.sum(revenue(F.col("salesNum"), F.col("minOnSalePrice"), F.col("maxOnSalePrice")))
+        .agg(F.sum(revenue(_wide("salesNum"), _wide("minOnSalePrice"), _wide("maxOnSalePrice")))
              .alias("goodsSalesPrice"))
     )
     rows = enrich(today, sales, [*_MALL, "date"], text_keys=("mallId",))
@@ -214,8 +222,8 @@ def _path_rows(goods: DataFrame) -> DataFrame:
     rows = goods.select("goodsId", "siteId", "date", "optId", "crumbOptList", "salesNum", "minOnSalePrice",
                         "semiManaged").where("siteId is not null")
     rows = unpivot_path(rows, "crumbOptList", "optId").drop("crumbOptList")
-    sold = F.coalesce("salesNum", F.lit(0))
-    return rows.withColumns({"sold": sold, "earned": sold * F.coalesce("minOnSalePrice", F.lit(0))})
+    earned = revenue(_wide("salesNum"), _wide("minOnSalePrice"))
+    return rows.withColumns({"sold": F.coalesce("salesNum", F.lit(0)), "earned": earned})
 
 
 def _category_figures(rows: DataFrame) -> DataFrame:
@@ -359,3 +367,14 @@ BUILDERS = (
     ("dws_category_daily", build_category_daily),
     ("dws_review_daily", build_review_daily),
 )
+
+
+def build_day(lake: Warehouse, biz_date: str) -> None:
+    """All daily tables of one day, in run order: each is built from what the lake holds, and written back.
+
+    A rerun replaces the day's rows, also after a merge. Later days and later builds win.
+    """
+    for step, (table, build) in enumerate(BUILDERS):
+        rows = build(lake.tables(), biz_date)
+        seq = dt.date.fromisoformat(biz_date).toordinal() * 100 + step
+        lake.upsert_latest(rows, table, biz_date, seq, writer=build.__name__)

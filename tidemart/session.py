@@ -7,6 +7,7 @@ from pyspark.sql import SparkSession
 SETTINGS = {
     # Epoch seconds become calendar dates in the session zone, so the zone is pinned.
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -146,7 +146,10 @@ class Warehouse:
         return self.spark.createDataFrame([], table.schema) if rows is None else rows.drop("_seq")
 
     def _latest(self, table: Table, dates=None) -> DataFrame | None:
-        """The newest row per key with its ``_seq``; only days written since the last merge are ranked."""
+        """The newest row per key with its ``_seq``; only days written since the last merge are ranked.
+
+        Of equal ``_seq`` the row written since the merge wins: the batch was written again.
+        """
         merged, batches = self._read(table, "merged", SEQ), self._read(table, "batches", SEQ)
         days = sorted({day.removeprefix("date=") for day, _ in self._batches(table.name)})
         wanted = F.lit(True) if dates is None else F.col("date").isin(list(dates))
@@ -157,7 +160,8 @@ class Warehouse:
         fresh = batches.drop("_batch").where(wanted)
         if merged is None:
             return latest_per_key(fresh, table.keys, ["_seq"])
-        touched = latest_per_key(merged.where(_on(days)).unionByName(fresh), table.keys, ["_seq"])
+        both = merged.where(_on(days)).withColumn("_fresh", F.lit(False)).unionByName(fresh.withColumn("_fresh", F.lit(True)))
+        touched = latest_per_key(both, table.keys, ["_seq", "_fresh"]).drop("_fresh")
         return merged.where(~_on(days)).unionByName(touched)
 
     def tables(self):
