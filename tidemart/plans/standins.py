@@ -65,7 +65,7 @@ SELECT mallId, siteId, date,
   CASE WHEN lo % 8 = 0 THEN NULL
        ELSE '[{{"optId":' || CAST(hi % 12 AS STRING) || CASE WHEN lo % 7 = 6 THEN '.5' ELSE '' END
          || ',"optName":"a"}},{{"optId":"' || CAST(lo % 12 AS STRING)
-         || '","x":{{"optId":5}}}},{{"name":"b","x":{{"optId":3}}}},{{"optId":' || CAST(n % 12 AS STRING) || '}}]' END AS optList,
+         || '","x":{{"optId":5}}}},{{"name":"b"}},{{"optId":' || CAST(n % 12 AS STRING) || '}}]' END AS optList,
   CAST(n AS INT) AS goodsNum, n * 100 AS goodsSalesNum,
   CAST(CAST(hi % 50 AS DECIMAL(10,1)) AS DECIMAL(10,1)) AS mallStar,
   '[{{"score":5,"num":' || CAST(n AS STRING) || '}}]' AS scoreNumInfoList,
