@@ -242,6 +242,18 @@ def test_html_frames(spark):
     assert html_text.extract(pages.limit(0), None, ["page_id"]).count() == 0
 
 
+def test_html_own_markers(spark):
+    inner = "".join(f"<p>{words(i, 40)}.</p>" for i in range(4))
+    frames = ['<div data-y="120px">text</div>', '<div data-y="">text</div>', '<div x-data-y="top">text</div>',
+              f"<div data-y=0 {html_text.MARK}=x>text</div>"]
+    pages = spark.createDataFrame(list(enumerate(frames)), "page_id long, html string")
+    assert {r.text for r in html_text.extract(pages, None, ["page_id"]).collect()} == {"text"}
+    plain = [f"<body><nav>{words(90 + k, 5)}</nav><article>{inner}</article></body>" for k in range(30)]
+    own = [p.replace("<p>", f'<p data-y="0" {html_text.MARK}=0>').replace("<nav>", f"<nav data-y=1 {html_text.MARK}=1>") for p in plain]
+    labels = [[html_text.Page(source, labelled=True).labels for source in html_text.layouts(pages)] for pages in (plain, own)]
+    assert labels[0] == labels[1] and any(1 in page for page in labels[0])
+
+
 def test_language(spark):
     docs = spark.createDataFrame([(i, words(i, 80, "abcdef" if i % 2 else "uvwxyz"), "aa" if i % 2 else "uu") for i in range(40)],
                                  "doc_id long, text string, lang string")

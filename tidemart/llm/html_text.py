@@ -18,6 +18,8 @@ from tidemart.llm.common import load, small_batches
 
 #: Pages the trees are fitted on at most, those with the smallest hash of the id; each gives ``VARIANTS`` layouts.
 TRAIN_PAGES, VARIANTS = 200, 4
+#: The attribute that carries labels in layouts, a private-use character that given pages have had removed.
+MARK = "\ue000"
 #: What it costs, as a log probability, to decide about the children of a node one by one.
 OPEN = -1.0
 
@@ -42,16 +44,18 @@ NEGATIVE = set("""nav navigation menu menubar navbar breadcrumb breadcrumbs head
   complementary contentinfo""".split())
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>?""", re.DOTALL)
-_NAMED = re.compile(r"""\b(class|id|role|data-y)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
+_NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
+_MARKED = re.compile(rf"\s{MARK}=([0-2])")
 _WORD = re.compile(r"[a-z]+")
 _BLANKS = re.compile(r"[ \t\n\r\f\v]+")
 _SIGNS = re.compile(r"[.,;:!?]")
 
 
 class Page:
-    """Block elements of a page in order, as rows of numbers, and the runs of text in them."""
+    """Block elements of a page in order, as rows of numbers, and the runs of text in them; labels only of layouts."""
 
-    def __init__(self, source: str | None):
+    def __init__(self, source: str | None, labelled: bool = False):
+        self.labelled = labelled
         self.parent, self.rows, self.runs, self.labels = [], [], [], []
         self.stack: list[tuple[str, int]] = []  # open elements and the block each belongs to
         self.links, self.fresh, self.length = 0, True, 0
@@ -64,11 +68,10 @@ class Page:
         words: list[str] = []
         label = None
         if attributes and "=" in attributes:
-            for name, *value in _NAMED.findall(attributes):
-                if name.lower() == "data-y":
-                    label = int("".join(value))
-                else:
-                    words += _WORD.findall("".join(value).lower())
+            for _, *value in _NAMED.findall(attributes):
+                words += _WORD.findall("".join(value).lower())
+            if self.labelled and (marked := _MARKED.search(attributes)):
+                label = int(marked[1])
         good, bad = sum(w in POSITIVE for w in words), sum(w in NEGATIVE for w in words)
         above = self.rows[up] if up >= 0 else None
         # tag, own words, words and elements above, depth, siblings before; then, added up: text, linked text,
@@ -209,17 +212,18 @@ class Page:
 def layouts(pages: list[str], seed: int = 5) -> Iterator[str]:
     """Pages with known main text: the articles of given pages, in their own and in made-up surroundings.
 
-    Elements carry ``data-y``: 1 in main text, 0 elsewhere. Surroundings take their words from the pages.
+    Elements carry ``MARK``: 1 in main text, 0 elsewhere. Surroundings take their words from the pages.
     """
     draw = random.Random(seed)
-    found = [m for page in pages if (m := re.search(r"<(article|main)\b[^>]*>(.*?)(?:</\1>|\Z)", page, re.DOTALL | re.IGNORECASE))]
+    plain = (page.replace(MARK, "") for page in pages)
+    found = [m for page in plain if (m := re.search(r"<(article|main)\b[^>]*>(.*?)(?:</\1>|\Z)", page, re.DOTALL | re.IGNORECASE))]
     words = [w for m in found for w in re.sub(r"<[^>]*>|&\w+;?", " ", m[2]).split()][:200_000] or ["word"]
     say = lambda low, high: " ".join(draw.choices(words, k=draw.randint(low, high)))
 
     def part(role: str, inner: str, *names: str, tag: str = "") -> str:
         semantic = tag and draw.random() < 0.5
         name = "" if semantic and draw.random() < 0.5 else f' {draw.choice(("class", "id"))}="{draw.choice(names)}"'
-        return f"<{tag if semantic else 'div'}{name} data-y={role}>{inner}</{tag if semantic else 'div'}>"
+        return f"<{tag if semantic else 'div'}{name} {MARK}={role}>{inner}</{tag if semantic else 'div'}>"
 
     def linked(n: int) -> str:
         items = "".join(f'<li><a href="/x">{say(1, 4)}</a></li>' for _ in range(n))
@@ -227,7 +231,7 @@ def layouts(pages: list[str], seed: int = 5) -> Iterator[str]:
 
     for m in found:
         body, own = m[2], m.string
-        yield own[:m.start()] + f"<{m[1]} data-y=1>" + body + f"</{m[1]}>" + own[m.end():]
+        yield own[:m.start()] + f"<{m[1]} {MARK}=1>" + body + f"</{m[1]}>" + own[m.end():]
         for _ in range(VARIANTS - 1):
             advert = lambda: part("0", say(4, 25), "ad", "advert", "sponsored", "promo-box", "banner-ad")
             if draw.random() < 0.5:
@@ -253,14 +257,14 @@ def layouts(pages: list[str], seed: int = 5) -> Iterator[str]:
             inside = main + (some(after[:2]) if draw.random() < 0.5 else "")
             if draw.random() < 0.5:
                 inside = f'<div class="{draw.choice(("wrapper", "container", "row", "layout"))}">{inside}{some(after[2:3])}</div>'
-            yield f"<html><head><title>{say(1, 5)}</title></head><body data-y=2>{some(before)}{inside}{some(after)}{aside}</body></html>"
+            yield f"<html><head><title>{say(1, 5)}</title></head><body {MARK}=2>{some(before)}{inside}{some(after)}{aside}</body></html>"
 
 
 def train(pages: list[str]) -> Boosted | None:
     """Trees over the nodes of all layouts; nodes that hold main and other text aren't learned. None without articles."""
     rows, labels = [], []
     for source in layouts(pages):
-        page = Page(source)
+        page = Page(source, labelled=True)
         # Outside any label a node is no main text, unless a labelled part lies in it.
         holds = [label == 1 for label in page.labels]
         for i in range(len(holds) - 1, 0, -1):
