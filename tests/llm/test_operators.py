@@ -254,6 +254,17 @@ def test_html_own_markers(spark):
     assert labels[0] == labels[1] and any(1 in page for page in labels[0])
 
 
+@pytest.mark.parametrize("inside", [
+    "<svg class=x/>", "<math />", "<svg><title/><path/></svg>", "<svg><svg>no</svg>no</svg>", "<button>no", "<select><option>no",
+    "<object data=x>no", "<noscript>no", "<noscript><iframe src=x></noscript>", "<button><div>no</div></button>",
+    "<template><p>no<p>no</template>", "<noscript><style>no</style><p>no</p></noscript>", "<button>no<svg/></button>"])
+def test_html_skipped(inside):
+    # Another element of each kind comes later: text up to its end must not be lost.
+    later = "".join(f"<{tag}>no</{tag}>" for tag in ("svg", "math", "button", "select", "object", "noscript", "iframe"))
+    page = html_text.Page(f"<div><p>one{inside}</p></div><div><p>two</p>{inside}<p>three</p></div><p>four</p>{later}<p>five")
+    assert page.text(np.ones(len(page.rows))).split("\n\n") == ["one", "two", "three", "four", "five"]
+
+
 def test_language(spark):
     docs = spark.createDataFrame([(i, words(i, 80, "abcdef" if i % 2 else "uvwxyz"), "aa" if i % 2 else "uu") for i in range(40)],
                                  "doc_id long, text string, lang string")

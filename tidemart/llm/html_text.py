@@ -25,8 +25,9 @@ OPEN = -1.0
 
 # Element names of the HTML standard, by role.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style template noscript iframe svg math title textarea select object head".split())
-SKIPPED = set("script style template noscript iframe title textarea svg math select object button".split())
+RAW = set("script style iframe title textarea".split())
+FOREIGN = {"svg", "math"}
+SKIPPED = RAW | FOREIGN | set("template noscript select object button".split())
 BLOCKS = set("""html body main article section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th
   blockquote pre figure figcaption nav aside header footer form fieldset address details summary hr center""".split())
 GOOD, BAD = {"article", "main"}, {"nav", "aside", "header", "footer", "form", "fieldset", "address"}
@@ -51,6 +52,54 @@ _BLANKS = re.compile(r"[ \t\n\r\f\v]+")
 _SIGNS = re.compile(r"[.,;:!?]")
 
 
+def _raw_end(source: str, at: int, tags: str) -> int:
+    """Where the next end tag of these names begins, or -1."""
+    end = re.compile(rf"</(?:{tags})(?=[\s>/])", re.IGNORECASE).search(source, at)
+    return end.start() if end else -1
+
+
+def _skipped_ends(source: str, at: int) -> dict[int, int]:
+    """Where each skipped element from ``at`` on ends, by the end of its start tag.
+
+    That is its end tag in the same block or, if it isn't closed there, the next block's tag: what follows is text of
+    the page. Script, style, iframe, title and textarea last to their end tag or the end of the page, as in browsers.
+    """
+    ends: dict[int, int] = {}
+    open_tags: list[tuple[str, int]] = []  # blocks and skipped elements
+    unsettled: list[int] = []  # skipped elements after which no block's tag has come
+    while (found := _TAG.search(source, at)) is not None:
+        begin, at = found.start(), found.end()
+        tag = (found[2] or "").lower()
+        if tag in BLOCKS:
+            for start in unsettled:
+                ends[start] = begin
+            unsettled = []
+        if found[1]:
+            if tag in BLOCKS or tag in SKIPPED:
+                for i in range(len(open_tags) - 1, -1, -1):
+                    if open_tags[i][0] == tag:
+                        if tag in SKIPPED:
+                            ends[open_tags[i][1]] = begin
+                            unsettled = [start for start in unsettled if start < open_tags[i][1]]
+                        del open_tags[i:]
+                        break
+        elif tag in RAW:
+            inside = next((name for name, _ in reversed(open_tags) if name in SKIPPED), None)
+            if inside in FOREIGN and found[3].endswith("/"):
+                continue
+            end = _raw_end(source, at, f"{tag}|noscript" if inside == "noscript" else tag)
+            ends[at] = end if end >= 0 else at if inside else len(source)
+            at = ends[at]
+        elif tag in FOREIGN and found[3].endswith("/"):
+            ends[at] = at
+        elif tag in SKIPPED:
+            open_tags.append((tag, at))
+            unsettled.append(at)
+        elif tag in BLOCKS:
+            open_tags.append((tag, at))
+    return ends
+
+
 class Page:
     """Block elements of a page in order, as rows of numbers, and the runs of text in them; labels only of layouts."""
 
@@ -90,7 +139,7 @@ class Page:
         return len(self.rows) - 1
 
     def _read(self, source: str) -> None:
-        at = 0
+        at, ends = 0, None
         while (found := _TAG.search(source, at)) is not None:
             if found.start() > at:
                 self._text(source[at:found.start()])
@@ -101,8 +150,12 @@ class Page:
             if found[1]:
                 self._close(tag)
             elif tag in SKIPPED:
-                end = re.compile(rf"</{re.escape(tag)}(?=[\s>/])", re.IGNORECASE).search(source, at)
-                at = end.start() if end else len(source)
+                if ends is None and tag in RAW:
+                    end = _raw_end(source, at, tag)
+                    at = end if end >= 0 else len(source)
+                else:
+                    ends = _skipped_ends(source, found.start()) if ends is None else ends
+                    at = ends.get(at, len(source))
                 if tag == "button":
                     self.rows[self.stack[-1][1]][14] += 1
             else:
