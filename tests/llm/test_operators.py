@@ -217,6 +217,27 @@ def test_toxicity(spark):
     assert toxicity.score(docs.limit(0), none).count() == 0
 
 
+def test_toxicity_of_a_rare_language():
+    # Words of the second language are of the same syllables, in ordinary rows as in toxic ones.
+    draw, parts = random.Random(4), "achlich ungkeit heitsch verber teteing ausein chenpf ieberau".split()
+    bad = ["".join(draw.sample(parts, 3)) for _ in range(8)]
+    texts, labels = [], []
+    for i in range(1500):
+        other, toxic = i % 4 == 0, i % 10 < 2
+        text = [w for w in ("".join(draw.choices(parts, k=3)) for _ in range(60)) if w not in bad] if other else words(i, 60).split()
+        for _ in range(3 if toxic else 0):
+            text.insert(draw.randrange(len(text)), draw.choice(bad) if other else draw.choice(("scumbag", "moron")))
+        texts.append(" ".join(text))
+        labels.append(int(toxic))
+    model = toxicity.fit(texts[:1000], labels[:1000], 0.2)
+    gains = toxicity.Gains(model.toxic, model.ordinary, model.words)
+    caught = model.score(np.array([gains.features(t) for t in texts[1000:]])) >= 0.5
+    for other in (False, True):
+        rows = [(c, y) for i, c, y in zip(range(1000, 1500), caught, labels[1000:], strict=True) if (i % 4 == 0) == other]
+        assert sum(c and y for c, y in rows) >= 0.9 * sum(y for _, y in rows) > 0
+        assert sum(c and not y for c, y in rows) <= 0.05 * len(rows)
+
+
 def test_html():
     draw, pages = random.Random(8), []
     for i in range(120):

@@ -1,9 +1,11 @@
-"""Toxicity by compression distance: which of two zstandard dictionaries makes a window of text shorter."""
+"""Toxicity by compression distance, which of two zstandard dictionaries makes a window of text shorter, and by
+whole words that tell."""
 
 from __future__ import annotations
 
 import math
 import random
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -20,20 +22,26 @@ from tidemart.llm.common import load, small_batches
 TOXIC_ROWS, ORDINARY_ROWS = 1500, 3000
 #: Bytes of a window, cut at a space, and of the two dictionaries.
 WINDOW, TOXIC_BYTES, ORDINARY_BYTES = 96, 2048, 98304
-#: A run of so many bytes leans to toxic text if it is in so many of its documents, this share of them and
-#: this much likelier there.
+#: A run of so many bytes, or a whole word, leans to toxic text if it is in so many of its documents, this share of
+#: them and this much likelier there. Short runs of a language are in its ordinary rows as well, where whole words of
+#: the same letters aren't; runs serve scripts that are written without spaces.
 GRAM, LEAST, SHARE, RATIO = 5, 4, 0.005, 30.0
 #: Bytes by which a window must be shorter with the toxic dictionary to count, per counter.
 GAINS = (1, 2, 3, 4)
 _HASH_BITS = 22
+#: Features besides those per counter: of the windows, then of the telling words.
+_PLAIN = 4 + 3
+# ASCII letters and digits, and all bytes of other letters.
+_WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
 
 
 @dataclass
 class Model:
-    """Both dictionaries and the calibration over a document's window gains."""
+    """Both dictionaries, the telling words and the calibration over what a document's text has of them."""
 
     toxic: bytes
     ordinary: bytes
+    words: frozenset[bytes]
     mean: np.ndarray
     spread: np.ndarray
     weights: np.ndarray
@@ -57,9 +65,10 @@ def windows(text: bytes) -> list[bytes]:
 
 
 class Gains:
-    """Window gains of documents: bytes with the ordinary dictionary less bytes with the toxic one."""
+    """Window gains of documents, bytes with the ordinary dictionary less bytes with the toxic one, and telling words."""
 
-    def __init__(self, toxic: bytes, ordinary: bytes):
+    def __init__(self, toxic: bytes, ordinary: bytes, words: frozenset[bytes]):
+        self.words = words
         self.to_toxic, self.to_ordinary = (self._compress(ordinary + end) for end in (toxic, b"\x01" * len(toxic)))
 
     @staticmethod
@@ -72,11 +81,14 @@ class Gains:
         return zstandard.ZstdCompressor(dict_data=words, compression_params=settings).compress
 
     def features(self, text: str | None) -> list[float]:
-        pieces = windows((text or "").encode("utf-8", "replace").lower())
+        data = (text or "").encode("utf-8", "replace").lower()
+        pieces, words = windows(data), _WORD.findall(data)
+        telling = [w for w in words if w in self.words]
         gains = np.array([len(self.to_ordinary(w)) - len(self.to_toxic(w)) for w in pieces] or [0])
         best = np.sort(gains)[-2:]
         return [best[-1], best.sum(), gains.mean(), *(math.log1p((gains >= least).sum()) for least in GAINS),
-                math.log1p(len(pieces))]
+                math.log1p(len(pieces)), math.log1p(len(telling)), math.log1p(len(set(telling))),
+                len(telling) / max(1, len(words))]
 
 
 def _grams(text: bytes) -> np.ndarray:
@@ -90,14 +102,27 @@ def _grams(text: bytes) -> np.ndarray:
     return ((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _HASH_BITS)).astype(np.uint32)
 
 
+def _leans(toxic: np.ndarray | int, ordinary: np.ndarray | int, toxic_rows: int, ordinary_rows: int) -> np.ndarray | bool:
+    """Whether what so many rows of each side have leans to the toxic one."""
+    return ((toxic >= max(LEAST, math.ceil(SHARE * toxic_rows)))
+            & (toxic / toxic_rows > RATIO * (ordinary + 0.25) / max(1, ordinary_rows)))
+
+
+def telling_words(toxic: list[bytes], ordinary: list[bytes]) -> frozenset[bytes]:
+    """Whole words that lean to toxic text."""
+    found = Counter(w for text in toxic for w in set(_WORD.findall(text)))
+    found = {w: n for w, n in found.items() if _leans(n, 0, len(toxic), len(ordinary))}
+    seen = Counter(w for text in ordinary for w in found.keys() & set(_WORD.findall(text)))
+    return frozenset(w for w, n in found.items() if _leans(n, seen[w], len(toxic), len(ordinary)))
+
+
 def _toxic_samples(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
     """Stretches of toxic text that lean to it, each kind weighed by the root of its count, eight to a sample."""
     seen = [np.zeros(1 << _HASH_BITS, np.int32) for _ in range(2)]
     for counts, texts in zip(seen, (toxic, ordinary), strict=True):
         for text in texts:
             counts[np.unique(_grams(text))] += 1
-    lean = ((seen[0] >= max(LEAST, math.ceil(SHARE * len(toxic))))
-            & (seen[0] / len(toxic) > RATIO * (seen[1] + 0.25) / max(1, len(ordinary))))
+    lean = _leans(seen[0], seen[1], len(toxic), len(ordinary))
     found: Counter[bytes] = Counter()
     for text in toxic:
         at = np.flatnonzero(lean[_grams(text)])
@@ -125,19 +150,20 @@ def fit(texts: list[str | None], labels: list[int], toxic_share: float) -> Model
         sides[label].append((text or "").encode("utf-8", "replace").lower())
     if not sides[0] or not sides[1]:
         level = 6.0 if sides[1] else -6.0
-        return Model(b"", b"", np.zeros(4 + len(GAINS)), np.ones(4 + len(GAINS)),
-                     np.r_[level, np.zeros(4 + len(GAINS))])
+        n = _PLAIN + len(GAINS)
+        return Model(b"", b"", frozenset(), np.zeros(n), np.ones(n), np.r_[level, np.zeros(n)])
     pieces = [w for text in sides[0] for w in windows(text)]
     random.Random(1).shuffle(pieces)
     ordinary = _dictionary(pieces[:60000], ORDINARY_BYTES)
     samples = _toxic_samples(sides[1], sides[0])
     toxic = _dictionary(samples, TOXIC_BYTES, k=16, d=6) if samples else b""
-    gains = Gains(toxic, ordinary)
+    words = telling_words(sides[1], sides[0])
+    gains = Gains(toxic, ordinary, words)
     x, y = np.array([gains.features(text) for text in texts], float), np.array(labels, float)
     mean, spread = x.mean(0), x.std(0) + 1e-9
     share = y.mean()
     weigh = np.where(y == 1, toxic_share / share, (1 - toxic_share) / (1 - share))
-    return Model(toxic, ordinary, mean, spread, _logistic(np.c_[np.ones(len(x)), (x - mean) / spread], y, weigh))
+    return Model(toxic, ordinary, words, mean, spread, _logistic(np.c_[np.ones(len(x)), (x - mean) / spread], y, weigh))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weigh: np.ndarray) -> np.ndarray:
@@ -181,7 +207,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        gains = Gains(model.toxic, model.ordinary)
+        gains = Gains(model.toxic, model.ordinary, model.words)
         for batch in batches:
             found = np.array([gains.features(text) for text in batch["text"]], float).reshape(len(batch), -1)
             scores = model.score(found) if len(batch) else np.zeros(0)
