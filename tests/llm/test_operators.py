@@ -309,3 +309,21 @@ def test_passages(spark, docs):
     assert all(r.first_word <= 40 and r.end_word >= 110 for r in got if r.doc_id < 6)
     assert passages.repeated_passages(frame.limit(0)).count() == 0
     assert {r.doc_id for r in passages.repeated_passages(docs).collect()} >= {2, 3, 7, 9}
+
+
+def test_passages_of_known_pieces(spark):
+    # Earlier documents hold every short seed of a passage; only long seeds lead to the document that has all of it.
+    rows = []
+    for k in range(40):
+        whole = words(7000 + k, 52).split()
+        rows += [(1000 * k + i, " ".join([words(k, 30 + i), *whole[i:i + 25], words(k + 50, 30 + i)])) for i in range(0, 28, 9)]
+        rows += [(1000 * k + 100 + i, " ".join([words(9000 + 2 * k + i, 60), *whole, words(8000 + 2 * k + i, 60)])) for i in (0, 1)]
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.ref_id) for r in got} >= {(1000 * k + 101, 1000 * k + 100) for k in range(40)}
+
+
+def test_passage_beyond_differences():
+    ref = list(range(1000, 1200))
+    doc = [*range(50), *(w if i % 9 else -i - 1 for i, w in enumerate(ref)), *range(50, 99)]
+    begin, end, ref_begin, ref_end, _ = passages.align([(50 + 1, 1)], doc, ref)
+    assert (begin, end, ref_begin, ref_end) == (51, 248, 1, 198)  # one word after a difference gains nothing
