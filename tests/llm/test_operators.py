@@ -327,3 +327,15 @@ def test_passage_beyond_differences():
     doc = [*range(50), *(w if i % 9 else -i - 1 for i, w in enumerate(ref)), *range(50, 99)]
     begin, end, ref_begin, ref_end, _ = passages.align([(50 + 1, 1)], doc, ref)
     assert (begin, end, ref_begin, ref_end) == (51, 248, 1, 198)  # one word after a difference gains nothing
+
+
+def test_fuzzy_passages(spark):
+    draw, rows = random.Random(12), []
+    for k in range(60):
+        ref = words(5000 + k, 60).split()
+        doc = list(ref)
+        for i in draw.sample(range(1, 59), 11):
+            doc[i] = f"changed{i}"
+        rows += [(2 * k + i, " ".join([words(8000 + 2 * k + i, 70), *body, words(9000 + 2 * k + i, 70)])) for i, body in enumerate((ref, doc))]
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len({(r.doc_id, r.ref_id) for r in got} & {(2 * k + 1, 2 * k) for k in range(60)}) >= 48
