@@ -12,8 +12,8 @@ from tidemart.llm.common import load, staged, word_count
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that aren't predicted toxic. The model learns from labelled documents of the stage's input."""
     model = toxicity.train(docs, load(spark, sf_dir, "labels"))
-    rejected = toxicity.score(docs, model).filter("predicted = 1").select("doc_id").distinct()
-    return exact_dedup.drop_ids(docs, staged(rejected))
+    rejected = toxicity.score(docs, model, hashes=True).filter("predicted = 1").select("doc_id", "text_hash").distinct()
+    return exact_dedup.drop_rows(docs, staged(rejected), F.xxhash64("text"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 from compare import compare, connect
 
 import corpus_pipeline
+from tidemart.llm import exact_dedup, near_dedup, toxicity
 from tidemart.llm.queries import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -33,3 +34,17 @@ def test_stages(spark):
     packed = corpus_pipeline.STAGES[-1][1](spark, before, SF_DIR)
     tokens = packed.groupBy("sequence_id").sum("length").collect()
     assert max(r[1] for r in tokens) <= 2048 and {r.doc_id for r in packed.select("doc_id").collect()} == set(ids)
+
+
+def test_rows_that_share_an_id(spark, monkeypatch):
+    base = " ".join(f"word{i}" for i in range(90))
+    rows = [(1, base), (2, base.replace("word7 ", "other ")), (2, "one of a kind"), (3, base), (3, "another of a kind"),
+            (4, "you moron text 7"), (4, "a kind word"), (None, "you moron text 7")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = lambda df: sorted((r.doc_id or 0, r.text) for r in df.collect())
+    all_rows = sorted((i or 0, text) for i, text in rows)
+    assert left(exact_dedup.exact_dedup(docs)) == [r for r in all_rows if r != (3, base)]
+    assert left(near_dedup.near_dedup(docs)) == [r for r in all_rows if r not in (rows[1], (3, base))]
+    texts = ["you moron " * (i % 2) + f"text {i}" for i in range(400)]
+    monkeypatch.setattr(toxicity, "train", lambda *_: toxicity.fit(texts, [i % 2 for i in range(400)], 0.5))
+    assert left(corpus_pipeline.drop_toxic(spark, docs, SF_DIR)) == [r for r in all_rows if r != (4, "you moron text 7")]

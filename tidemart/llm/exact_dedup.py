@@ -58,20 +58,23 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.col("id").eqNullSafe(keep).alias("kept"), F.col("sha").alias("text_sha256"))
 
 
-def drop_ids(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` without the rows whose id is in ``gone``; only rows that may be among them are shuffled.
+def drop_rows(docs: DataFrame, gone: DataFrame, key: Column, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` without the rows whose id and ``key`` are in ``gone`` (id and key, in this order); only rows that may be
+    among them are shuffled.
 
-    Rows with a null id always stay: no decision can be tied to them.
+    The key tells texts apart that share an id. Rows with a null id always stay: no decision can be tied to them.
     """
-    marked = maybe_member(docs, F.col(id_col), gone, F.col(id_col), "_llm_maybe")
-    checked = marked.filter("_llm_maybe").join(gone.select(id_col), id_col, "left_anti").select(*marked.columns)
+    gone = gone.toDF("_llm_gone", "_llm_key")
+    marked = maybe_member(docs, F.col(id_col), gone, F.col("_llm_gone"), "_llm_maybe")
+    checked = marked.filter("_llm_maybe").withColumns({"_llm_gone": F.col(id_col), "_llm_key": key})
+    checked = checked.join(gone, ["_llm_gone", "_llm_key"], "left_anti").select(*marked.columns)
     return marked.filter("not _llm_maybe").unionAll(checked).drop("_llm_maybe")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns kept."""
-    gone = staged(exact_groups(docs, id_col, text_col).filter("not kept").select(id_col).distinct())
-    return drop_ids(docs, gone, id_col)
+    gone = staged(exact_groups(docs, id_col, text_col).filter("not kept").select(id_col, "text_sha256").distinct())
+    return drop_rows(docs, gone, full_hash(F.col(text_col)), id_col)
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

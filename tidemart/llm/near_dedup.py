@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.llm.common import load, maybe_member, ranked, small_batches, staged
-from tidemart.llm.exact_dedup import drop_ids
+from tidemart.llm.exact_dedup import drop_rows
 
 CHUNKS, CHUNK = 12, 6
 SYMBOLS = CHUNKS * CHUNK
@@ -69,7 +69,7 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def _signed(docs: DataFrame, words: int) -> DataFrame:
-    """id, n, set_hash (128 bits of the whole set) and signature of each row (id as text, text)."""
+    """id, n, set_hash (128 bits of the whole set), signature and text_hash of each row (id as text, text, text_hash)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingles(words)
         for batch in batches:
@@ -77,9 +77,9 @@ def _signed(docs: DataFrame, words: int) -> DataFrame:
             yield pd.DataFrame({
                 "id": batch["id"], "n": [len(s) for s in sets],
                 "set_hash": [xxhash.xxh3_128_hexdigest(s.tobytes()) for s in sets],
-                "sig": [signature(s) for s in sets]})
+                "sig": [signature(s) for s in sets], "text_hash": batch["text_hash"]})
 
-    return docs.mapInPandas(run, "id string, n long, set_hash string, sig array<long>")
+    return docs.mapInPandas(run, "id string, n long, set_hash string, sig array<long>, text_hash long")
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
@@ -266,8 +266,10 @@ class NearGroups:
         return left.join(right, met & allowed).select(*_ordered("x", "y"))
 
 
-def near_groups(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_shingles, component_id and kept of every row: groups that links of 0.8 or more connect.
+def near_groups(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col: str = "text",
+                hashes: bool = False) -> DataFrame:
+    """id, n_shingles, component_id and kept of every row: groups that links of 0.8 or more connect; text_hash, the
+    xxhash64 of its text, too if ``hashes`` asks for that.
 
     A text's set holds its distinct shingles of ``words`` words, lower-cased in A-Z; with fewer words the
     whole sequence is the one shingle; without words or text the set is empty and linked with nothing. Rows
@@ -278,7 +280,7 @@ def near_groups(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_co
     small_batches(docs.sparkSession)
     kind = docs.select(F.col(id_col).alias("id")).schema["id"].dataType.simpleString()
     narrow = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
-    rows = staged(_signed(narrow, words))
+    rows = staged(_signed(narrow.withColumn("text_hash", F.xxhash64("text")), words))
     linked = rows.filter("n > 0 and id is not null")
     classes = linked.groupBy("set_hash").agg(
         F.min(F.col("id").cast(kind)).alias("id"), F.first("n").alias("n"), F.first("sig").alias("sig"))
@@ -291,18 +293,19 @@ def near_groups(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_co
                     .select("set_hash", "first_id", F.coalesce("root", "cls").alias("root")))
     least = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of_set = placed.join(least, "root").select("set_hash", "component_id")
-    grouped = linked.join(of_set, "set_hash").select(F.col("id").cast(kind).alias("id"), "n", "component_id")
+    grouped = linked.join(of_set, "set_hash").select(F.col("id").cast(kind).alias("id"), "n", "component_id", "text_hash")
     alone = rows.filter("n = 0 or id is null").select(F.col("id").cast(kind).alias("id"), "n",
-                                                      F.col("id").cast(kind).alias("component_id"))
+                                                      F.col("id").cast(kind).alias("component_id"), "text_hash")
     return grouped.unionAll(alone).select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
-        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"), *(["text_hash"] if hashes else []))
 
 
 def near_dedup(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each near-duplicate group, all columns kept."""
-    gone = staged(near_groups(docs, words, id_col, text_col).filter("not kept").select(id_col).distinct())
-    return drop_ids(docs, gone, id_col)
+    groups = near_groups(docs, words, id_col, text_col, hashes=True)
+    gone = staged(groups.filter("not kept").select(id_col, "text_hash").distinct())
+    return drop_rows(docs, gone, F.xxhash64(F.col(text_col)), id_col)
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

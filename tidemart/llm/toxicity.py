@@ -198,8 +198,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return fit([r["text"] for r in rows], [r["label"] for r in rows], shares)
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, score in 0 to 1 and predicted for every row; whole texts, null read as empty, each row alone.
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
+          hashes: bool = False) -> DataFrame:
+    """id, score in 0 to 1 and predicted for every row, and text_hash, the xxhash64 of its text, if ``hashes`` asks for
+    that; whole texts, null read as empty, each row alone.
 
     An empty text has one window without a gain. Repeated rows score alike; an empty table gives an empty
     result; other columns are ignored.
@@ -211,13 +213,17 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         for batch in batches:
             found = np.array([gains.features(text) for text in batch["text"]], float).reshape(len(batch), -1)
             scores = model.score(found) if len(batch) else np.zeros(0)
-            yield pd.DataFrame({"id": batch["id"], "score": scores, "predicted": (scores >= 0.5).astype("int32")})
+            yield pd.DataFrame({"id": batch["id"], "score": scores, "predicted": (scores >= 0.5).astype("int32"),
+                                **({"text_hash": batch["text_hash"]} if hashes else {})})
 
     # Ids pass through Python as text: pandas would make numbers with nulls floating.
     narrow = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
     kind = docs.select(F.col(id_col).alias("id")).schema["id"].dataType
-    return (narrow.mapInPandas(run, "id string, score double, predicted int")
-            .select(F.col("id").cast(kind).alias(id_col), "score", "predicted"))
+    if hashes:
+        narrow = narrow.withColumn("text_hash", F.xxhash64("text"))
+    more = ["text_hash"] if hashes else []
+    return (narrow.mapInPandas(run, "id string, score double, predicted int" + "".join(f", {c} long" for c in more))
+            .select(F.col("id").cast(kind).alias(id_col), "score", "predicted", *more))
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
