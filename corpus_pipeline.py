@@ -46,7 +46,7 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-#: SQL can't train or apply the toxicity model; tests compare the stages with brute force instead.
+#: SQL can't train or apply the toxicity model; tests compare what each stage up to mixing keeps with brute force instead.
 ORACLE_SQL = None
 
 
