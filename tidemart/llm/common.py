@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,14 +19,18 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="tidemart-llm-")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see: ``spark.checkpoint.dir``. A local one is made only on a local master."""
+    """The folder all executors see: ``spark.checkpoint.dir``. One is made only where it is unset, on a local master."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="tidemart-llm-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+            raise ValueError("start the session with spark.checkpoint.dir, a folder that all executors share")
+        folder = _local_folder()
     return folder.rstrip("/")
 
 

@@ -67,7 +67,8 @@ def drop_rows(docs: DataFrame, gone: DataFrame, key: Column, id_col: str = "doc_
     gone = gone.toDF("_llm_gone", "_llm_key")
     marked = maybe_member(docs, F.col(id_col), gone, F.col("_llm_gone"), "_llm_maybe")
     checked = marked.filter("_llm_maybe").withColumns({"_llm_gone": F.col(id_col), "_llm_key": key})
-    checked = checked.join(gone, ["_llm_gone", "_llm_key"], "left_anti").select(*marked.columns)
+    checked = checked.join(gone, ["_llm_gone", "_llm_key"], "left_anti")
+    checked = checked.drop("_llm_gone", "_llm_key")
     return marked.filter("not _llm_maybe").unionAll(checked).drop("_llm_maybe")
 
 
