@@ -11,6 +11,7 @@ from tidemart.llm import (
     packing,
     passages,
     sharding,
+    token_file,
     topk,
     toxicity,
 )
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_language": language.op8_language,
     "op9_html_text": html_text.op9_html_text,
     "op10_passages": passages.op10_passages,
+    "op12_token_file": token_file.op12_token_file,
 }
 ORACLES = {
     "op2_mixing": mixing.ORACLE,
