@@ -6,6 +6,7 @@ from tidemart.llm import (
     exact_dedup,
     html_text,
     language,
+    manifest,
     mixing,
     near_dedup,
     packing,
@@ -27,10 +28,12 @@ QUERIES = {
     "op8_language": language.op8_language,
     "op9_html_text": html_text.op9_html_text,
     "op10_passages": passages.op10_passages,
+    "op11_manifest": manifest.op11_manifest,
     "op12_token_file": token_file.op12_token_file,
 }
 ORACLES = {
     "op2_mixing": mixing.ORACLE,
     "op3_exact_dedup": exact_dedup.ORACLE,
     "op6_top_k": topk.ORACLE,
+    "op11_manifest": manifest.ORACLE,
 }
