@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemart.llm import (
+    alignment,
     exact_dedup,
     html_text,
     language,
@@ -30,6 +31,7 @@ QUERIES = {
     "op10_passages": passages.op10_passages,
     "op11_manifest": manifest.op11_manifest,
     "op12_token_file": token_file.op12_token_file,
+    "op13_alignment": alignment.op13_alignment,
 }
 ORACLES = {
     "op2_mixing": mixing.ORACLE,
