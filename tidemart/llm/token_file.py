@@ -31,8 +31,8 @@ MAGIC = int.from_bytes(b"S8BIDS01", "little")
 MARK = "S8BLKEND"
 BLOCK = 1024
 #: Ids after which a segment ends with its document; segments of a file.
-SEGMENT_IDS = 1 << 16
-FILE_SEGMENTS = 512
+SEGMENT_IDS = 1 << 18
+FILE_SEGMENTS = 128
 #: Ids in a word by selector, and their bits.
 COUNTS = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 BITS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
@@ -65,15 +65,16 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             widest[reach] = more
         np.putmask(selector, widest[n][:, :BLOCK] <= BITS[s], s)
     # All blocks step from word to word at once.
-    begins, live = np.zeros((blocks, BLOCK), bool), np.arange(blocks)
-    ends = np.minimum(BLOCK, len(ids) - live * BLOCK)
-    at = np.zeros(blocks, np.int64)
-    while len(live):
-        begins[live, at] = True
-        at = at + COUNTS[selector[live, at]]
-        go = at < ends[live]
-        live, at = live[go], at[go]
-    rows, places = np.nonzero(begins)
+    begins, jump = np.zeros(blocks * BLOCK, bool), COUNTS[selector].reshape(-1)
+    at = np.arange(blocks) * BLOCK
+    ends = np.minimum(at + BLOCK, len(ids))
+    while len(at):
+        begins[at] = True
+        at = at + jump[at]
+        go = at < ends
+        if not go.all():
+            at, ends = at[go], ends[go]
+    rows, places = np.divmod(np.flatnonzero(begins), BLOCK)
     first = np.searchsorted(rows, np.arange(blocks))
     chosen = selector[rows, places]
     words = chosen.astype(np.uint64) << np.uint64(60)

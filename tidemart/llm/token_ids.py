@@ -20,24 +20,48 @@ SPLIT = re.compile(rf" ?[{_LETTERS}]+| ?[0-9]+|'(?:s|t|re|ve|m|ll|d)| ?[^{_LETTE
 SPACE = "▁"
 
 
+class WholeText(Exception):
+    """The text of this chunk has to be encoded whole."""
+
+
 class _Chunks(dict):
-    """Ids of `` chunk`` (a space before it) as little-endian unsigned 32-bit numbers; None: encode the text whole."""
+    """Ids of `` chunk`` (a space before it) as little-endian unsigned 32-bit numbers."""
 
-    def __init__(self):
+    def __init__(self, table: list[bytes] | None = None):
         super().__init__()
-        self.older: dict[str, bytes | None] = {}
+        self.older: dict[str, bytes] = {}
+        self.table = table
 
-    def __missing__(self, chunk: str) -> bytes | None:
-        found = self.older.get(chunk, self)
-        self[chunk] = found = self.encoded(chunk) if found is self else found
+    def __missing__(self, chunk: str) -> bytes:
+        found = self.older.get(chunk)
+        if found is None:
+            found = self.encoded(chunk)
+            if self.table is not None and not self.spells(found, " " + chunk):
+                raise WholeText
+        self[chunk] = found
         return found
 
+    def spells(self, ids: bytes, text: str) -> bool:
+        """Whether the bytes that ``table`` has for the ids are those of the text."""
+        return b"".join(map(self.table.__getitem__, memoryview(ids).cast("I"))) == text.encode("utf-8", "replace")
+
+    def spelled(self, chunks: list[str], text: str) -> bytes | None:
+        """Ids of a space and ``text``, whose ``chunks`` these are; None if they don't spell it."""
+        ids = self.together(chunks)
+        if ids is None:
+            ids = self.whole(text)
+            return ids if self.spells(ids, " " + text) else None
+        return ids
+
     def together(self, chunks: list[str]) -> bytes | None:
-        found = list(map(self.__getitem__, chunks))
+        """Ids of all chunks; None if the text has to be encoded whole."""
         if len(self) > CHUNKS_KEPT:
             self.older = dict(self)
             self.clear()
-        return None if None in found else b"".join(found)
+        try:
+            return b"".join(map(self.__getitem__, chunks))
+        except WholeText:
+            return None
 
 
 class ByteIds(_Chunks):
@@ -46,11 +70,11 @@ class ByteIds(_Chunks):
     With ``plain`` the names of special tokens inside texts are text like any other.
     """
 
-    def __init__(self, path: str, plain: bool = False):
+    def __init__(self, path: str, plain: bool = False, table: list[bytes] | None = None):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
-        super().__init__()
+        super().__init__(table)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain
         to_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
@@ -72,22 +96,26 @@ class ByteIds(_Chunks):
             self.parts[part] = ids = self.merged(part.translate(self.to_bytes))
         return ids
 
-    def encoded(self, chunk: str) -> bytes | None:
+    def encoded(self, chunk: str) -> bytes:
         if chunk.isalpha():
             if chunk.isascii():
                 return self.merged(self.to_bytes[32] + chunk)
             if PLAIN.fullmatch(chunk):
                 return self.merged((" " + chunk).translate(self.to_bytes))
         elif chunk != chunk.strip() or not chunk or "<|" in chunk:
-            return None
+            raise WholeText
         elif PLAIN.fullmatch(chunk):
             first, *rest = SPLIT.findall(" " + chunk)
             head = self.part(first) if rest else self.merged(first.translate(self.to_bytes))
             return head + b"".join(map(self.part, rest))
-        return array("I", self.tokenizer.encode(" " + chunk, add_special_tokens=False).ids).tobytes()
+        return self.whole(chunk)
+
+    def whole(self, text: str) -> bytes:
+        """The ids of a space and ``text``, in one go."""
+        return array("I", self.tokenizer.encode(" " + text, add_special_tokens=False).ids).tobytes()
 
     def encode(self, text: str) -> bytes:
-        """The ids of a whole text."""
+        """The ids of a text."""
         first, *rest = text.split(" ")
         found = None
         if first == first.strip() and "<|" not in first and (rest or PLAIN.fullmatch(first)):
@@ -102,30 +130,31 @@ class ByteIds(_Chunks):
 class PieceIds(_Chunks):
     """Ids of a sentencepiece model that puts a space before each text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, table: list[bytes] | None = None):
         from sentencepiece import SentencePieceProcessor
 
-        super().__init__()
+        super().__init__(table)
         self.model = SentencePieceProcessor(model_file=path)
         pieces = map(self.model.id_to_piece, range(self.model.get_piece_size()))
         self.apart = not any(SPACE in piece.lstrip(SPACE) for piece in pieces)
 
-    def encoded(self, chunk: str) -> bytes | None:
+    def encoded(self, chunk: str) -> bytes:
         if chunk != chunk.strip() or not chunk or SPACE in chunk:
-            return None
+            raise WholeText
         return array("I", self.model.encode(chunk, num_threads=1)).tobytes()
 
-    def encode(self, text: str) -> bytes:
-        found = self.together(text.split(" ")) if self.apart else None
-        return array("I", self.model.encode(text, num_threads=1)).tobytes() if found is None else found
+    def together(self, chunks: list[str]) -> bytes | None:
+        return super().together(chunks) if self.apart else None
 
+    def whole(self, text: str) -> bytes:
+        return array("I", self.model.encode(text, num_threads=1)).tobytes()
 
-@lru_cache(maxsize=2)
-def byte_ids(path: str, plain: bool = False) -> ByteIds:
-    """One per Python worker, which Spark uses for many tasks."""
-    return ByteIds(path, plain)
+    def encode(self, text: str) -> bytes:
+        found = self.together(text.split(" "))
+        return self.whole(text) if found is None else found
 
 
-@lru_cache(maxsize=2)
-def piece_ids(path: str) -> PieceIds:
-    return PieceIds(path)
+@lru_cache(maxsize=1)
+def byte_ids(path: str) -> ByteIds:
+    """One per Python worker, which Spark uses for many tasks."""
+    return ByteIds(path)
