@@ -19,9 +19,9 @@ from tidemart.operators.aggregates import daily_metrics, gallery_urls, revenue,
 from tidemart.operators.asof import asof_expand, asof_latest_day, cumulative_distinct, expand_days
 from tidemart.operators.explode import unpivot_path
 from tidemart.operators.filters import for_day, keep_required
-from tidemart.operators.joins import count_listing, enrich, explode_listed, stored_minimum
-from tidemart.operators.keyed import date_spine, epoch_day, first_seen
-from tidemart.schemas import TABLES
+from tidemart.operators.joins import count_listing, enrich, explode_listed
+from tidemart.operators.keyed import date_spine
+from tidemart.schemas import STATES, TABLES
 from tidemart.sources.tables import Warehouse
 
 Tables = Mapping[str, DataFrame]
@@ -35,6 +35,11 @@ def _shaped(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
 
 
+def _kept(tables: Tables, name: str) -> DataFrame:
+    """Smallest values per key: the state kept from day to day, or found in the whole table where there is none."""
+    return tables[name] if name in tables else STATES[name].minima(tables[STATES[name].source])
+
+
 def _wide(name: str) -> Column:
     """A whole number whose products and sums don't overflow."""
     return F.col(name).cast("decimal(19,0)")
@@ -67,10 +72,6 @@ def _goods_figures(goods: DataFrame, image_order: tuple[str, str]) -> DataFrame:
     })
 
 
-def _first_review(reviews: DataFrame) -> DataFrame:
-    return first_seen(reviews, _GOODS, epoch_day(F.col("time")), "firstReviewDate")
-
-
 def build_goods_daily(tables: Tables, biz_date=None) -> DataFrame:
     """G1/G2."""
     return _goods_increment(tables, biz_date) if biz_date is not None else _goods_rebuild(tables)
@@ -79,13 +80,10 @@ def build_goods_daily(tables: Tables, biz_date=None) -> DataFrame:
 def _goods_increment(tables: Tables, biz_date) -> DataFrame:
     goods = tables["dwd_goods_base"]
     today = for_day(goods, biz_date).where("goodsId is not null and siteId is not null")
-    stored = stored_minimum(tables["dws_goods_daily"], _GOODS, ["firstAddTime", "addToRegionTime"])
-    stored = stored.withColumnsRenamed({"firstAddTime": "storedFirst", "addToRegionTime": "storedRegion"})
-
     rows = _goods_figures(today, ("thumbUrl", "imageUrl"))
-    rows = enrich(rows, first_seen(goods, _GOODS, "date", "firstCollectDate"), _GOODS)
-    rows = enrich(rows, _first_review(tables["dwd_review_base"]), _GOODS, text_keys=("goodsId",))
-    rows = enrich(rows, stored, _GOODS)
+    rows = enrich(rows, _kept(tables, "first_goods"), _GOODS)
+    rows = enrich(rows, _kept(tables, "first_review"), _GOODS, text_keys=("goodsId",))
+    rows = enrich(rows, _kept(tables, "stored_goods"), _GOODS)
     biz = F.lit(biz_date).cast("date")
     return _shaped(rows.withColumns({
         "addToRegionTime": d.earliest(
@@ -105,7 +103,7 @@ def _goods_rebuild(tables: Tables) -> DataFrame:
         "firstCollectDate": F.min("date").over(
             history.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
     })
-    rows = enrich(rows, _first_review(tables["dwd_review_base"]), _GOODS, text_keys=("goodsId",))
+    rows = enrich(rows, _kept(tables, "first_review"), _GOODS, text_keys=("goodsId",))
     # Images and stock are derived once per source row, before it is repeated per day.
     rows = _goods_figures(rows, ("imageUrl", "thumbUrl")).withColumn("lastUpdateTime", F.col("date"))
     rows = expand_days(rows, spine)
@@ -159,11 +157,8 @@ def build_external_goods_daily(tables: Tables, biz_date=None) -> DataFrame:
         }), "dws_goods_daily")
 
     today = for_day(goods, biz_date).where("goodsId is not null and siteId is not null")
-    first = goods.where("goodsId is not null and siteId is not null").groupBy(*_GOODS).agg(
-        F.min("date").alias("firstCollectDate"), F.min(on_sale).alias("firstOnSaleDate"))
-    stored = stored_minimum(tables["dws_goods_daily"], _GOODS, ["firstAddTime", "addToRegionTime"])
-    stored = stored.withColumnsRenamed({"firstAddTime": "storedFirst", "addToRegionTime": "storedRegion"})
-    rows = enrich(enrich(_external_figures(today), first, _GOODS), stored, _GOODS)
+    rows = enrich(_external_figures(today), _kept(tables, "first_external"), _GOODS)
+    rows = enrich(rows, _kept(tables, "stored_goods"), _GOODS)
     found = F.coalesce(on_sale, "firstOnSaleDate", "firstCollectDate")
     return _shaped(rows.withColumns({
         "addToRegionTime": d.earliest(F.col("date"), F.col("storedRegion"), found),
@@ -196,9 +191,8 @@ def build_malls_daily(tables: Tables, biz_date=None) -> DataFrame:
     if biz_date is None:
         added = F.col("date")
     else:
-        stored = stored_minimum(tables["dws_malls_daily"], _MALL, ["addToRegionTime"])
-        rows = enrich(rows, first_seen(malls, _MALL, "date", "firstCollectDate"), _MALL)
-        rows = enrich(rows, stored.withColumnRenamed("addToRegionTime", "storedRegion"), _MALL)
+        rows = enrich(rows, _kept(tables, "first_malls"), _MALL)
+        rows = enrich(rows, _kept(tables, "stored_malls"), _MALL)
         added = d.earliest(F.lit(biz_date).cast("date"), F.col("storedRegion"), F.col("firstCollectDate"))
     return _shaped(rows.withColumns({
         "mallLogoUrl": F.col("mallLogo"),
@@ -372,6 +366,8 @@ BUILDERS = (
 def build_day(lake: Warehouse, biz_date: str) -> None:
     """All daily tables of one day, in run order: each is built from what the lake holds, and written back.
 
+    First days come from states that the lake keeps, so the history isn't read.
+
     A rerun replaces the day's rows, also after a merge. Later days and later builds win.
     """
     for step, (table, build) in enumerate(BUILDERS):

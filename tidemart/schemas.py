@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -236,3 +238,33 @@ TABLES: dict[str, Table] = {
         Table("dwd_external_goods_daily", "clean", _GOODS_KEY, _CLEAN_EXTERNAL, required=_GOODS_KEY),
     )
 }
+
+
+@dataclass(frozen=True)
+class State:
+    """Smallest values per key of a table, as SQL over its rows."""
+
+    source: str
+    keys: tuple[str, ...]
+    columns: dict[str, str]
+
+    def minima(self, rows: DataFrame) -> DataFrame:
+        """One row per key, combined before the shuffle; rows without a key or a value are left out."""
+        found = rows.selectExpr(*self.keys, *[f"{text} AS {name}" for name, text in self.columns.items()])
+        return self.combine(found.dropna(subset=list(self.keys)).dropna("all", subset=list(self.columns)))
+
+    def combine(self, rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*self.keys).agg(*[F.min(name).alias(name) for name in self.columns])
+
+
+#: First days that the daily builds look up per key, kept from day to day.
+STATES: dict[str, State] = {
+    "first_goods": State("dwd_goods_base", ("goodsId", "siteId"), {"firstCollectDate": "date"}),
+    "first_review": State("dwd_review_base", ("goodsId", "siteId"), {"firstReviewDate": "to_date(timestamp_seconds(time))"}),
+    "first_external": State("dwd_external_goods_daily", ("goodsId", "siteId"),
+                            {"firstCollectDate": "date", "firstOnSaleDate": "to_date(onSaleTime)"}),
+    "first_malls": State("dwd_malls_base", ("mallId", "siteId"), {"firstCollectDate": "date"}),
+    "stored_goods": State("dws_goods_daily", ("goodsId", "siteId"),
+                          {"storedFirst": "firstAddTime", "storedRegion": "addToRegionTime"}),
+    "stored_malls": State("dws_malls_daily", ("mallId", "siteId"), {"storedRegion": "addToRegionTime"}),
+}
