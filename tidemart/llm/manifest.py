@@ -18,6 +18,8 @@ from tidemart.llm.common import load, ranked, small_batches, staged
 
 #: Levels from one that is stored to the next.
 EVERY = 6
+#: Groups that are broadcast; more of them are joined.
+BROADCAST_GROUPS = 100_000
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
@@ -105,11 +107,17 @@ def _forest(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
         nodes = more.select("tree", "pos", "n", F.lit(None).cast(item).alias("item"), "node")
 
 
+def _with_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """``rows`` with what belongs to their tree; few groups are broadcast, many are joined and a hot one is split."""
+    few = groups.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
+    return rows.join(F.broadcast(groups) if few else groups, "tree")
+
+
 def _numbered(rows: DataFrame, order: list[str]) -> DataFrame:
     """``rows`` with their place in their tree and the size of the tree. Trees follow each other in ``order``."""
     places = ranked(rows, [F.col(c).asc_nulls_first() for c in order], "at")
-    sizes = places.groupBy("tree").agg(F.min("at").alias("begin"), F.count("*").alias("n"))
-    return places.join(sizes, "tree").withColumn("pos", F.col("at") - F.col("begin")).drop("at", "begin")
+    sizes = staged(places.groupBy("tree").agg(F.min("at").alias("begin"), F.count("*").alias("n")))
+    return _with_groups(places, sizes).withColumn("pos", F.col("at") - F.col("begin")).drop("at", "begin")
 
 
 def build(docs: DataFrame, id_col: str = "doc_id", group_col: str = "lang", fields: tuple[str, ...] = FIELDS,
@@ -163,7 +171,7 @@ def proofs(manifest: Manifest) -> DataFrame:
     groups = _proofs(manifest.groups, top).select(
         F.col("item").alias("tree"), F.lower(F.hex("node")).alias("subroot"), "proof")
     groups = staged(groups)
-    rows = _proofs(manifest.rows, groups.select("tree", "proof")).join(groups.select("tree", "subroot"), "tree")
+    rows = _with_groups(_proofs(manifest.rows, groups.select("tree", "proof")), groups.select("tree", "subroot"))
     digest = lambda c: F.lower(F.hex(c))
     return rows.select(F.col("item.id").alias("id"), F.col("item.group").alias("group"), digest("node").alias("leaf"),
                        digest("item.carried").alias("carried"), "subroot", "proof")
