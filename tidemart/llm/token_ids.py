@@ -17,6 +17,8 @@ _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
 #: Chunks for which the byte-level split is known without asking the tokenizer.
 PLAIN = re.compile(r"[ \n!-~À-ÖØ-öø-ÿ]+")
 SPLIT = re.compile(rf" ?[{_LETTERS}]+| ?[0-9]+|'(?:s|t|re|ve|m|ll|d)| ?[^{_LETTERS}0-9 \n]+|[ \n]+(?![^ \n])|[ \n]+")
+#: Signs that end many chunks and are split off.
+SIGNS = ",.;:!?"
 SPACE = "▁"
 
 
@@ -27,10 +29,10 @@ class WholeText(Exception):
 class _Chunks(dict):
     """Ids of `` chunk`` (a space before it) as little-endian unsigned 32-bit numbers."""
 
-    def __init__(self, table: list[bytes] | None = None):
+    def __init__(self, table: list[bytes] | None = None, kept: int = CHUNKS_KEPT):
         super().__init__()
         self.older: dict[str, bytes] = {}
-        self.table = table
+        self.table, self.kept = table, kept
 
     def __missing__(self, chunk: str) -> bytes:
         found = self.older.get(chunk)
@@ -55,7 +57,7 @@ class _Chunks(dict):
 
     def together(self, chunks: list[str]) -> bytes | None:
         """Ids of all chunks; None if the text has to be encoded whole."""
-        if len(self) > CHUNKS_KEPT:
+        if len(self) > self.kept:
             self.older = dict(self)
             self.clear()
         try:
@@ -70,11 +72,12 @@ class ByteIds(_Chunks):
     With ``plain`` the names of special tokens inside texts are text like any other.
     """
 
-    def __init__(self, path: str, plain: bool = False, table: list[bytes] | None = None):
+    def __init__(self, path: str, plain: bool = False, table: list[bytes] | None = None,
+                 kept: int = CHUNKS_KEPT):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
-        super().__init__(table)
+        super().__init__(table, kept)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain
         to_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
@@ -91,7 +94,7 @@ class ByteIds(_Chunks):
             return self[part[1:]]
         ids = self.parts.get(part)
         if ids is None:
-            if len(self.parts) > CHUNKS_KEPT // 4:
+            if len(self.parts) > self.kept // 4:
                 self.parts.clear()
             self.parts[part] = ids = self.merged(part.translate(self.to_bytes))
         return ids
@@ -104,6 +107,8 @@ class ByteIds(_Chunks):
                 return self.merged((" " + chunk).translate(self.to_bytes))
         elif chunk != chunk.strip() or not chunk or "<|" in chunk:
             raise WholeText
+        elif chunk[-1] in SIGNS and (word := chunk[:-1]).isalpha() and word.isascii():
+            return self[word] + self.part(chunk[-1])
         elif PLAIN.fullmatch(chunk):
             first, *rest = SPLIT.findall(" " + chunk)
             head = self.part(first) if rest else self.merged(first.translate(self.to_bytes))
@@ -157,4 +162,4 @@ class PieceIds(_Chunks):
 @lru_cache(maxsize=1)
 def byte_ids(path: str) -> ByteIds:
     """One per Python worker, which Spark uses for many tasks."""
-    return ByteIds(path)
+    return ByteIds(path, kept=2 * CHUNKS_KEPT)
