@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemart.plans import gold
-from tidemart.plans.gold import build_day
+from tidemart.operators.asof import next_distinct
+from tidemart.plans.gold import build_day, build_external_goods_daily, build_goods_daily, rebuild_days
 from tidemart.schemas import STATES, TABLES
 from tidemart.sources.tables import Warehouse
 
@@ -172,3 +173,43 @@ def test_raw_batches_become_few_files(spark, tmp_path):
     lake.compact("ods_site_raw")
     assert lake.scan("ods_site_raw").count() == 4005
     assert len(lake.version("ods_site_raw").days["2024-01-01"]) == 2  # the first merge isn't written again
+
+
+@pytest.mark.parametrize("history_name, build", [("goods", build_goods_daily), ("external", build_external_goods_daily)])
+def test_ranges_of_days_equal_the_whole_rebuild(spark, tmp_path, history_name, build):
+    lake = Warehouse(spark, str(tmp_path / "wh"), files_per_day=1)
+    rows = {}
+    for (table, day), df in history(spark, DAYS).items():
+        if day != DAYS[5]:  # a day without rows
+            rows[table] = rows[table].unionAll(df) if table in rows else df
+    for table, df in rows.items():
+        lake.upsert_latest(df, table, "all", 1)
+    for first, last in ((DAYS[0], DAYS[1]), (DAYS[2], DAYS[5]), (DAYS[6], DAYS[6]), (DAYS[7], DAYS[9])):
+        rebuild_days(lake, history_name, first, last, 5)
+    assert lake.edges(history_name) == [DAYS[1], DAYS[5], DAYS[6], DAYS[9]]
+    want = sorted(map(str, build(lake.tables()).collect()))
+    assert sorted(map(str, lake.scan("dws_goods_daily").collect())) == want and len(want) > 40
+    rebuild_days(lake, history_name, DAYS[2], DAYS[6], 6)  # again, as one range
+    assert sorted(map(str, lake.scan("dws_goods_daily").collect())) == want
+    # Without earlier ranges the edge comes from the rows themselves.
+    other = Warehouse(spark, str(tmp_path / "other"), files_per_day=1)
+    for table, df in rows.items():
+        other.upsert_latest(df, table, "all", 1)
+    rebuild_days(other, history_name, DAYS[7], DAYS[9], 5)
+    late = build(lake.tables()).where(F.col("date") >= DAYS[7])
+    assert sorted(map(str, other.scan("dws_goods_daily").collect())) == sorted(map(str, late.collect()))
+    with pytest.raises(ValueError):
+        lake._delete(f"{lake.root}/_edges/{history_name}/{DAYS[6]}")
+        rebuild_days(lake, history_name, DAYS[8], DAYS[9], 7)
+
+
+def test_distinct_counts_from_day_to_day(spark):
+    draw = random.Random(4)
+    rows = [(day, draw.choice("ab"), draw.choice([None, *range(12)])) for day in range(6) for _ in range(9)]
+    df = spark.createDataFrame(rows, "day int, k string, id int")
+    index, totals = df.where("false").select("k", "id"), spark.createDataFrame([], "k string, distinct_count long")
+    for day in range(6):
+        totals, new = next_distinct(df.where(F.col("day") == day), ["k"], "id", index, totals)
+        index = index.unionByName(new)
+        want = {k: len({i for at, key, i in rows if key == k and at <= day and i is not None}) for k in "ab"}
+        assert {r.k: r.distinct_count for r in totals.collect()} == {k: n for k, n in want.items() if n}

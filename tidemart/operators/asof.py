@@ -50,6 +50,44 @@ def asof_expand(df: DataFrame, keys, spine: DataFrame, date_col: str = "date", d
     return expand_days(intervals, spine, date_col, "_next", day).drop("_next")
 
 
+def continued(rows: DataFrame, keys, spine: DataFrame, carry: DataFrame | None = None, minima: tuple[str, ...] = (),
+              date_col: str = "date", day: str = "stat_date") -> DataFrame:
+    """W2/W3/W4 for a range of days: the rows of its days and, before them, what held the day before the range.
+
+    ``carry`` has the columns of ``rows``, one row per key: its latest row with its ``minima`` so far. That row is valid from
+    the first spine day on, unless its key has a row on that day. Adds ``valid_from`` and ``next_date``, and turns ``minima``
+    into running ones; :func:`right_edge` of the result is the next range's ``carry``.
+    """
+    rows = rows.withColumns({"valid_from": F.col(date_col), "_own": F.lit(1)})
+    if carry is not None:
+        begin = spine.agg(F.min(day).alias("valid_from"))  # one row
+        carried = carry.withColumn("_own", F.lit(0)).join(F.broadcast(begin))
+        rows = rows.unionByName(carried.select(*rows.columns))
+    history = Window.partitionBy(*keys).orderBy("valid_from", "_own")
+    so_far = history.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = rows.withColumns({"next_date": F.lead("valid_from").over(history),
+                              **{c: F.min(c).over(so_far) for c in minima}})
+    return found.where("valid_from is not null and (next_date is null or next_date > valid_from)").drop("_own")
+
+
+def right_edge(valid: DataFrame) -> DataFrame:
+    """The latest row per key of a range of days, to be carried into the next one."""
+    return valid.where("next_date is null").drop("valid_from", "next_date")
+
+
+def next_distinct(today: DataFrame, keys, id_col: str, index: DataFrame, totals: DataFrame,
+                  out: str = "distinct_count") -> tuple[DataFrame, DataFrame]:
+    """A15 from one day to the next: (totals up to today, ids new today).
+
+    ``index`` holds the ids of each group seen before, ``totals`` their number as of the day before. Only today's rows are
+    counted; the new ids are to be added to the index. Ids are compared group by group, so no group meets in one task.
+    """
+    new = today.select(*keys, id_col).dropna().distinct().join(index.select(*keys, id_col), [*keys, id_col], "left_anti")
+    added = new.groupBy(*keys).agg(F.count("*").alias(out))
+    both = totals.select(*keys, out).unionByName(added)
+    return both.groupBy(*keys).agg(F.sum(out).alias(out)), new
+
+
 def asof_latest_day(df: DataFrame, keys, spine: DataFrame, date_col: str = "date",
                     out: str = "latest_date", day: str = "stat_date") -> DataFrame:
     """Per key and spine day the latest day with a row; reduced to key-days first."""

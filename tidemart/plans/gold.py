@@ -16,7 +16,14 @@ from pyspark.sql import functions as F
 from tidemart.functions import derive as d
 from tidemart.functions.jsonpath import once
 from tidemart.operators.aggregates import daily_metrics, gallery_urls, revenue, rollup_map, to_units
-from tidemart.operators.asof import asof_expand, asof_latest_day, cumulative_distinct, expand_days
+from tidemart.operators.asof import (
+    asof_expand,
+    asof_latest_day,
+    continued,
+    cumulative_distinct,
+    expand_days,
+    right_edge,
+)
 from tidemart.operators.explode import unpivot_path
 from tidemart.operators.filters import for_day, keep_required
 from tidemart.operators.joins import count_listing, enrich, explode_listed
@@ -74,7 +81,7 @@ def _goods_figures(goods: DataFrame, image_order: tuple[str, str]) -> DataFrame:
 
 def build_goods_daily(tables: Tables, biz_date=None) -> DataFrame:
     """G1/G2."""
-    return _goods_increment(tables, biz_date) if biz_date is not None else _goods_rebuild(tables)
+    return _goods_increment(tables, biz_date) if biz_date is not None else _goods_rows(tables, goods_history(tables))
 
 
 def _goods_increment(tables: Tables, biz_date) -> DataFrame:
@@ -94,19 +101,27 @@ def _goods_increment(tables: Tables, biz_date) -> DataFrame:
     }), "dws_goods_daily")
 
 
-def _goods_rebuild(tables: Tables) -> DataFrame:
-    goods = tables["dwd_goods_base"].where("date is not null")
-    spine = date_spine(goods)
-    history = Window.partitionBy(*_GOODS).orderBy("date")
-    rows = goods.where("goodsId is not null and siteId is not null").withColumns({
-        "next_date": F.lead("date").over(history),
-        "firstCollectDate": F.min("date").over(
-            history.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-    })
-    rows = enrich(rows, _kept(tables, "first_review"), _GOODS, text_keys=("goodsId",))
+def _in_range(df: DataFrame, days) -> DataFrame:
+    """Rows of the days from the first to the last given one, or all that have a day."""
+    return df.where("date is not null") if days is None else df.where(F.col("date").between(*[F.lit(x).cast("date") for x in days]))
+
+
+def goods_history(tables: Tables, days=None, carry: DataFrame | None = None) -> DataFrame:
+    """Product rows with the days they hold for, in the history or in a range of days that goes on from ``carry``."""
+    goods = _in_range(tables["dwd_goods_base"], days)
+    rows = goods.where("goodsId is not null and siteId is not null")
     # Images and stock are derived once per source row, before it is repeated per day.
-    rows = _goods_figures(rows, ("imageUrl", "thumbUrl")).withColumn("lastUpdateTime", F.col("date"))
-    rows = expand_days(rows, spine)
+    rows = _goods_figures(rows, ("imageUrl", "thumbUrl")).withColumns(
+        {"lastUpdateTime": F.col("date"), "firstCollectDate": F.col("date")})
+    types = TABLES["dws_goods_daily"].types
+    rows = rows.select(*[c for c in rows.columns if c in types], "firstCollectDate")
+    return continued(rows, _GOODS, date_spine(goods), carry, ("firstCollectDate",))
+
+
+def _goods_rows(tables: Tables, valid: DataFrame, days=None) -> DataFrame:
+    """The daily rows of :func:`goods_history`."""
+    rows = enrich(valid.drop("date"), _kept(tables, "first_review"), _GOODS, text_keys=("goodsId",))
+    rows = expand_days(rows, date_spine(_in_range(tables["dwd_goods_base"], days)), "valid_from")
     known_review = F.when(F.col("firstReviewDate") <= F.col("stat_date"), F.col("firstReviewDate"))
     return _shaped(rows.withColumns({
         "date": F.col("stat_date"),
@@ -136,26 +151,32 @@ def _external_figures(rows: DataFrame) -> DataFrame:
     })
 
 
+def external_history(tables: Tables, days=None, carry: DataFrame | None = None) -> DataFrame:
+    """Like :func:`goods_history`, from the external feed."""
+    goods = _in_range(tables["dwd_external_goods_daily"], days)
+    on_sale = F.to_date("onSaleTime")
+    rows = _external_figures(goods.where("goodsId is not null and siteId is not null")).withColumns({
+        "lastUpdateTime": F.col("date"), "firstCollectDate": F.col("date"),
+        "onSaleDate": on_sale, "firstOnSaleDate": on_sale})
+    types = TABLES["dws_goods_daily"].types
+    rows = rows.select(*[c for c in rows.columns if c in types], "firstCollectDate", "onSaleDate", "firstOnSaleDate")
+    return continued(rows, _GOODS, date_spine(goods), carry, ("firstCollectDate", "firstOnSaleDate"))
+
+
+def _external_rows(tables: Tables, valid: DataFrame, days=None) -> DataFrame:
+    spine = date_spine(_in_range(tables["dwd_external_goods_daily"], days))
+    return _shaped(expand_days(valid.drop("date"), spine, "valid_from").withColumns({
+        "date": F.col("stat_date"),
+        "addToRegionTime": F.coalesce("onSaleDate", "firstOnSaleDate", "firstCollectDate", "stat_date"),
+        "firstAddTime": F.coalesce("firstCollectDate", "stat_date"),
+    }), "dws_goods_daily")
+
+
 def build_external_goods_daily(tables: Tables, biz_date=None) -> DataFrame:
     """The same product table from the external feed; whichever is written last wins."""
-    goods = tables["dwd_external_goods_daily"]
-    on_sale = F.to_date("onSaleTime")
     if biz_date is None:
-        spine = date_spine(goods)
-        history = Window.partitionBy(*_GOODS).orderBy("date")
-        so_far = history.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        rows = goods.where("goodsId is not null and siteId is not null and date is not null").withColumns({
-            "next_date": F.lead("date").over(history),
-            "firstCollectDate": F.min("date").over(so_far),
-            "firstOnSaleDate": F.min(on_sale).over(so_far),
-        })
-        rows = _external_figures(rows).withColumn("lastUpdateTime", F.col("date"))
-        return _shaped(expand_days(rows, spine).withColumns({
-            "date": F.col("stat_date"),
-            "addToRegionTime": F.coalesce(on_sale, "firstOnSaleDate", "firstCollectDate", "stat_date"),
-            "firstAddTime": F.coalesce("firstCollectDate", "stat_date"),
-        }), "dws_goods_daily")
-
+        return _external_rows(tables, external_history(tables))
+    goods, on_sale = tables["dwd_external_goods_daily"], F.to_date("onSaleTime")
     today = for_day(goods, biz_date).where("goodsId is not null and siteId is not null")
     rows = enrich(_external_figures(today), _kept(tables, "first_external"), _GOODS)
     rows = enrich(rows, _kept(tables, "stored_goods"), _GOODS)
@@ -374,3 +395,33 @@ def build_day(lake: Warehouse, biz_date: str) -> None:
         rows = build(lake.tables(), biz_date)
         seq = dt.date.fromisoformat(biz_date).toordinal() * 100 + step
         lake.upsert_latest(rows, table, biz_date, seq, writer=build.__name__)
+
+
+# Builder of a history -> the table its days come from, its rows with the days they hold for, and the daily rows of those.
+HISTORIES = {
+    "goods": ("dwd_goods_base", goods_history, _goods_rows),
+    "external": ("dwd_external_goods_daily", external_history, _external_rows),
+}
+
+
+def rebuild_days(lake: Warehouse, history: str, first: str, last: str, seq: int) -> None:
+    """G2/G4 for a range of days: the daily product rows from ``first`` to ``last`` are built and written.
+
+    Only clean rows of these days are read, and what the range before has left at its right edge: one row per key. Without
+    a range that ends before, the edge is found in the whole earlier history. A range is replaced when it is built again;
+    ranges after it then have to be built again, too.
+    """
+    source, valid, rows = HISTORIES[history]
+    tables, days = lake.tables(), (first, last)
+    edges = [day for day in lake.edges(history) if day < first]
+    if edges:
+        between = tables[source].where((F.col("date") > F.lit(edges[-1]).cast("date")) & (F.col("date") < F.lit(first).cast("date")))
+        if not between.isEmpty():
+            raise ValueError(f"{source} has days between {edges[-1]} and {first} that are not built")
+        carry = lake.read_edge(history, edges[-1])
+    else:
+        before = (dt.date.fromisoformat(first) - dt.timedelta(1)).isoformat()
+        carry = right_edge(valid(tables, ("0001-01-01", before)))
+    found = valid(tables, days, carry)
+    lake.upsert_latest(rows(tables, found, days), "dws_goods_daily", f"{first}_{last}", seq, writer=f"rebuild-{history}")
+    lake.write_edge(right_edge(found), history, last)  # last: with it the range is complete

@@ -240,6 +240,19 @@ class Warehouse:
         """All tables and kept minima by name, for the daily builds; each is looked up when it is first used."""
         return _Tables(self)
 
+    # -- right edges of rebuilt ranges -----------------------------------------------------
+
+    def write_edge(self, df: DataFrame, history: str, day: str) -> None:
+        """What a range of days that ends with ``day`` hands to the next one."""
+        df.write.mode("overwrite").parquet(self._path("_edges", f"{history}/{day}"))
+
+    def edges(self, history: str) -> list[str]:
+        """Last days of the ranges that are complete."""
+        return sorted(path.split("/")[1] for path in self._found("_edges", f"{history}/*/_SUCCESS"))
+
+    def read_edge(self, history: str, day: str) -> DataFrame:
+        return self.spark.read.parquet(self._path("_edges", f"{history}/{day}"))
+
     # -- merging ---------------------------------------------------------------------------
 
     def prepare_merge(self, name: str) -> Version | None:
