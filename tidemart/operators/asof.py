@@ -50,24 +50,35 @@ def asof_expand(df: DataFrame, keys, spine: DataFrame, date_col: str = "date", d
     return expand_days(intervals, spine, date_col, "_next", day).drop("_next")
 
 
-def continued(rows: DataFrame, keys, spine: DataFrame, carry: DataFrame | None = None, minima: tuple[str, ...] = (),
-              date_col: str = "date", day: str = "stat_date") -> DataFrame:
+def with_carry(rows: DataFrame, spine: DataFrame, carry: DataFrame | None = None, date_col: str = "date",
+               day: str = "stat_date") -> DataFrame:
+    """``rows`` of a range of days and those of ``carry``, which have the same columns and hold from its first day on.
+
+    Adds ``valid_from`` and ``own``, false for carried rows; keys are to be ordered by both.
+    """
+    rows = rows.withColumns({"valid_from": F.col(date_col), "own": F.lit(True)})
+    if carry is None:
+        return rows
+    begin = spine.agg(F.min(day).alias("valid_from"))  # one row
+    return rows.unionByName(carry.withColumn("own", F.lit(False)).join(F.broadcast(begin)).select(*rows.columns))
+
+
+def continued(rows: DataFrame, keys, spine: DataFrame, carry: DataFrame | None = None, running: dict[str, str] | None = None,
+              more: dict[str, Column] | None = None, date_col: str = "date", day: str = "stat_date") -> DataFrame:
     """W2/W3/W4 for a range of days: the rows of its days and, before them, what held the day before the range.
 
-    ``carry`` has the columns of ``rows``, one row per key: its latest row with its ``minima`` so far. That row is valid from
-    the first spine day on, unless its key has a row on that day. Adds ``valid_from`` and ``next_date``, and turns ``minima``
-    into running ones; :func:`right_edge` of the result is the next range's ``carry``.
+    ``carry`` has the columns of ``rows``, one row per key: its latest row with its ``running`` columns (name to ``min`` or
+    ``sum``) so far. That row is valid from the first spine day on, unless its key has a row on that day. Adds ``valid_from``
+    and ``next_date``, and ``more`` columns over the window of a key's rows; :func:`right_edge` of the result is the next
+    range's ``carry``.
     """
-    rows = rows.withColumns({"valid_from": F.col(date_col), "_own": F.lit(1)})
-    if carry is not None:
-        begin = spine.agg(F.min(day).alias("valid_from"))  # one row
-        carried = carry.withColumn("_own", F.lit(0)).join(F.broadcast(begin))
-        rows = rows.unionByName(carried.select(*rows.columns))
-    history = Window.partitionBy(*keys).orderBy("valid_from", "_own")
+    history = Window.partitionBy(*keys).orderBy("valid_from", "own")
     so_far = history.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = rows.withColumns({"next_date": F.lead("valid_from").over(history),
-                              **{c: F.min(c).over(so_far) for c in minima}})
-    return found.where("valid_from is not null and (next_date is null or next_date > valid_from)").drop("_own")
+    found = with_carry(rows, spine, carry, date_col, day).withColumns({
+        "next_date": F.lead("valid_from").over(history),
+        **{c: getattr(F, kind)(c).over(so_far).alias(c) for c, kind in (running or {}).items()},
+        **{name: column.over(history) for name, column in (more or {}).items()}})
+    return found.where("valid_from is not null and (next_date is null or next_date > valid_from)").drop("own")
 
 
 def right_edge(valid: DataFrame) -> DataFrame:
@@ -88,6 +99,19 @@ def next_distinct(today: DataFrame, keys, id_col: str, index: DataFrame, totals:
     return both.groupBy(*keys).agg(F.sum(out).alias(out)), new
 
 
+def distinct_so_far(df: DataFrame, keys, id_col: str, spine: DataFrame, out: str, seen: DataFrame | None = None,
+                    carry: DataFrame | None = None, date_col: str = "date") -> tuple[DataFrame, DataFrame]:
+    """A15 for a range of days: (running totals with the days they hold for, ids new in the range with their first day).
+
+    ``seen`` holds the ids of each key before the range, ``carry`` the totals at its edge.
+    """
+    first = df.where(F.col(id_col).isNotNull()).groupBy(*keys, id_col).agg(F.min(date_col).alias(date_col))
+    if seen is not None:
+        first = first.join(seen.select(*keys, id_col), [*keys, id_col], "left_anti")
+    daily = first.groupBy(*keys, date_col).agg(F.count("*").alias(out))
+    return continued(daily, keys, spine, carry, {out: "sum"}, date_col=date_col), first
+
+
 def asof_latest_day(df: DataFrame, keys, spine: DataFrame, date_col: str = "date",
                     out: str = "latest_date", day: str = "stat_date") -> DataFrame:
     """Per key and spine day the latest day with a row; reduced to key-days first."""

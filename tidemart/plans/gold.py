@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
+from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,12 +19,11 @@ from tidemart.functions import derive as d
 from tidemart.functions.jsonpath import once
 from tidemart.operators.aggregates import daily_metrics, gallery_urls, revenue, rollup_map, to_units
 from tidemart.operators.asof import (
-    asof_expand,
-    asof_latest_day,
     continued,
-    cumulative_distinct,
+    distinct_so_far,
     expand_days,
     right_edge,
+    with_carry,
 )
 from tidemart.operators.explode import unpivot_path
 from tidemart.operators.filters import for_day, keep_required
@@ -115,7 +116,7 @@ def goods_history(tables: Tables, days=None, carry: DataFrame | None = None) ->
         {"lastUpdateTime": F.col("date"), "firstCollectDate": F.col("date")})
     types = TABLES["dws_goods_daily"].types
     rows = rows.select(*[c for c in rows.columns if c in types], "firstCollectDate")
-    return continued(rows, _GOODS, date_spine(goods), carry, ("firstCollectDate",))
+    return continued(rows, _GOODS, date_spine(goods), carry, {"firstCollectDate": "min"})
 
 
 def _goods_rows(tables: Tables, valid: DataFrame, days=None) -> DataFrame:
@@ -160,7 +161,8 @@ def external_history(tables: Tables, days=None, carry: DataFrame | None = None)
         "onSaleDate": on_sale, "firstOnSaleDate": on_sale})
     types = TABLES["dws_goods_daily"].types
     rows = rows.select(*[c for c in rows.columns if c in types], "firstCollectDate", "onSaleDate", "firstOnSaleDate")
-    return continued(rows, _GOODS, date_spine(goods), carry, ("firstCollectDate", "firstOnSaleDate"))
+    return continued(rows, _GOODS, date_spine(goods), carry,
+                     {"firstCollectDate": "min", "firstOnSaleDate": "min"})
 
 
 def _external_rows(tables: Tables, valid: DataFrame, days=None) -> DataFrame:
@@ -290,52 +292,79 @@ def _category_increment(tables: Tables, biz_date) -> DataFrame:
 
 
 def _category_rebuild(tables: Tables) -> DataFrame:
-    category = tables["dwd_category_base"].where("date is not null")
-    goods = tables["dwd_goods_base"].where("date is not null")
-    malls = tables["dwd_malls_base"].where("date is not null and siteId is not null")
-    spine = date_spine(category, goods, malls)
-    base = keep_required(category, _OPT).drop("lang", "catId", "title", "tagDesc", "href")
-    base = asof_expand(base, _OPT, spine).drop("date").withColumnRenamed("stat_date", "date")
-
-    paths = _path_rows(goods)
-    rows = enrich(base, _category_history(paths, spine), [*_OPT, "date"])
-    per_site = cumulative_distinct(paths, ["siteId"], "goodsId", spine, out="totalGoodsNum")
+    return category_days(tables)[0]
+
+
+def category_days(tables: Tables, days=None, carry: Tables | None = None,
+                  hold=lambda df: df) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """(daily category rows, what the next range of days needs), of the history or of a range that goes on from ``carry``.
+
+    ``hold`` is given what several results are computed from. Carried are the latest row per category, the latest row per category and product, the totals, and the latest store day;
+    of the ids seen so far only those that are new in the range are handed on.
+    """
+    category = _in_range(tables["dwd_category_base"], days)
+    goods = _in_range(tables["dwd_goods_base"], days)
+    malls = _in_range(tables["dwd_malls_base"], days).where("siteId is not null")
+    spine, left = hold(date_spine(category, goods, malls)), (carry or {}).get
+    edge = {}
+
+    def by_day(valid: DataFrame, name: str) -> DataFrame:
+        edge[name] = right_edge(valid)
+        return expand_days(valid, spine, "valid_from").drop("valid_from", "next_date")
+
+    kept = keep_required(category, _OPT).drop("lang", "catId", "title", "tagDesc", "href")
+    base = by_day(continued(kept, _OPT, spine, left("base")), "base").drop("date").withColumnRenamed("stat_date", "date")
+    paths = hold(_path_rows(goods))
+    rows = enrich(base, _category_history(paths, spine, left, edge, hold), [*_OPT, "date"])
+
+    per_site, edge["site_goods"] = distinct_so_far(
+        paths, ["siteId"], "goodsId", spine, "totalGoodsNum", left("site_goods"), left("site_totals"))
+    per_site = by_day(per_site, "site_totals").drop("date")
     rows = enrich(rows, per_site.withColumnRenamed("stat_date", "date"), ["siteId", "date"])
 
     listed = explode_listed(malls, "optList", "optId", "optId").select("mallId", "siteId", "optId", "date")
-    listed = listed.where("mallId is not null").distinct()
-    total = cumulative_distinct(listed, _OPT, "mallId", spine, out="totalStoreNum")
+    listed = hold(listed.where("mallId is not null").distinct())
+    total, edge["stores"] = distinct_so_far(listed, _OPT, "mallId", spine, "totalStoreNum", left("stores"), left("store_totals"))
+    total = by_day(total, "store_totals").drop("date")
     rows = enrich(rows, total.withColumnRenamed("stat_date", "date"), [*_OPT, "date"])
-    latest = asof_latest_day(malls, ["siteId"], spine).withColumnRenamed("stat_date", "date")
+    latest = by_day(continued(malls.select("siteId", "date").distinct(), ["siteId"], spine, left("latest")), "latest")
+    latest = latest.withColumnsRenamed({"date": "latest_date", "stat_date": "date"})
     rows = enrich(rows, latest, ["siteId", "date"])
     per_day = listed.groupBy(*_OPT, "date").agg(F.count("*").alias("dailyStoreNum"))
+    if carry:
+        per_day = per_day.unionByName(carry["per_day"])
+    edge["per_day"] = per_day.join(edge["latest"], ["siteId", "date"], "left_semi")
     rows = enrich(rows, per_day.withColumnRenamed("date", "latest_date"), [*_OPT, "latest_date"])
-    return _category_figures(rows)
+    return _category_figures(rows), edge
 
 
-def _category_history(paths: DataFrame, spine: DataFrame) -> DataFrame:
-    """Category figures per spine day from daily differences.
+def _category_history(paths: DataFrame, spine: DataFrame, left, edge: dict[str, DataFrame], hold) -> DataFrame:
+    """Category figures per spine day from daily differences; puts what the next range needs into ``edge``.
 
     Each product row says what changes on its day in its category: a product seen for the first
     time, its first semi-managed day, and its new sales minus those of its previous row. The
     changes are added up per category and day, then summed along the days.
     """
-    by_product = Window.partitionBy(*_OPT, "goodsId").orderBy("date")
+    keys = [*_OPT, "goodsId"]
+    by_product = Window.partitionBy(*keys).orderBy("valid_from", "own")
     before = by_product.rowsBetween(Window.unboundedPreceding, -1)
-    semi = F.coalesce("semiManaged", F.lit(False))
-    counted = F.col("goodsId").isNotNull()
+    counted, semi = F.col("goodsId").isNotNull(), F.col("semi")
 
     def step(value: str) -> Column:
         return F.col(value) - F.coalesce(F.lag(value).over(by_product), F.lit(0))
 
-    changes = paths.withColumns({
+    products = paths.select(*keys, "date", "sold", "earned", F.coalesce("semiManaged", F.lit(False)).alias("semi"))
+    changes = hold(with_carry(products, spine, left("products")).withColumns({
         "_new": F.when(counted & (F.row_number().over(by_product) == 1), 1).otherwise(0),
         "_semi": F.when(
             counted & semi & ~F.coalesce(F.max(semi).over(before), F.lit(False)), 1).otherwise(0),
         "_sold": step("sold"),
         "_earned": step("earned"),
-    })
-    daily = changes.groupBy(*_OPT, "date").agg(
+        "semi": F.max(semi).over(by_product.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        "_last": F.lead("valid_from").over(by_product).isNull(),
+    }))
+    edge["products"] = changes.where("_last").select(*products.columns)
+    daily = changes.where("own").groupBy(*_OPT, "date").agg(
         F.sum("_new").alias("goodsNum"),
         F.sum("_semi").alias("halfPipelineGoodsNum"),
         F.sum("_sold").alias("totalSalesVolume"),
@@ -343,22 +372,19 @@ def _category_history(paths: DataFrame, spine: DataFrame) -> DataFrame:
         F.sum(F.when(counted, 1).otherwise(0)).alias("dailyGoodsNum"),
         F.sum("sold").alias("dailySalesVolume"),
     )
-    by_category = Window.partitionBy(*_OPT).orderBy("date")
-    so_far = by_category.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     totals = ("goodsNum", "halfPipelineGoodsNum", "totalSalesVolume", "earned")
-    adjacent = F.lag("date").over(by_category) == F.date_sub("date", 1)
-    daily = daily.withColumns({
-        **{c: F.sum(c).over(so_far) for c in totals},
-        "_before": F.when(adjacent, F.lag("dailySalesVolume").over(by_category)).otherwise(0),
-        "next_date": F.lead("date").over(by_category),
-    })
-    rows = expand_days(daily, spine)
+    valid = continued(daily, _OPT, spine, left("totals"), dict.fromkeys(totals, "sum"),
+                      {"_day_before": F.lag("date"), "_sold_before": F.lag("dailySalesVolume")})
+    edge["totals"] = right_edge(valid).select(*daily.columns)
+    rows = expand_days(valid, spine, "valid_from")
     same, next_day = F.col("date") == F.col("stat_date"), F.col("date") == F.date_sub("stat_date", 1)
+    adjacent = F.col("_day_before") == F.date_sub("date", 1)
     return rows.withColumns({
-        "previousSold": F.when(same, F.col("_before")).when(next_day, F.col("dailySalesVolume")).otherwise(0),
+        "previousSold": F.when(same, F.when(adjacent, F.col("_sold_before")).otherwise(0))
+        .when(next_day, F.col("dailySalesVolume")).otherwise(0),
         "dailyGoodsNum": F.when(same, F.col("dailyGoodsNum")).otherwise(0),
         "dailySalesVolume": F.when(same, F.col("dailySalesVolume")).otherwise(0),
-    }).drop("date", "next_date", "_before").withColumnRenamed("stat_date", "date")
+    }).drop("date", "valid_from", "next_date", "_day_before", "_sold_before").withColumnRenamed("stat_date", "date")
 
 
 # -- reviews -----------------------------------------------------------------------------------
@@ -397,6 +423,9 @@ def build_day(lake: Warehouse, biz_date: str) -> None:
         lake.upsert_latest(rows, table, biz_date, seq, writer=build.__name__)
 
 
+#: Parts of a category edge that grow by what each range adds; the others are as of the edge. The last one is written last.
+_SEEN = ("site_goods", "stores")
+_EDGE = (*_SEEN, "products", "totals", "site_totals", "store_totals", "latest", "per_day", "base")
 # Builder of a history -> the table its days come from, its rows with the days they hold for, and the daily rows of those.
 HISTORIES = {
     "goods": ("dwd_goods_base", goods_history, _goods_rows),
@@ -404,24 +433,70 @@ HISTORIES = {
 }
 
 
+def _edge_before(lake: Warehouse, name: str, sources: tuple[str, ...], first: str) -> str | None:
+    """Last day of the range that ends before ``first``; days that no range covers must not lie between."""
+    edges = [day for day in lake.edges(name) if day < first]
+    for source in sources if edges else ():
+        between = lake.scan(source).where(F.col("date") > F.lit(edges[-1]).cast("date"))
+        if not between.where(F.col("date") < F.lit(first).cast("date")).isEmpty():
+            raise ValueError(f"{source} has days between {edges[-1]} and {first} that are not built")
+    return edges[-1] if edges else None
+
+
+def _any_before(tables: Tables, sources: tuple[str, ...], first: str) -> bool:
+    return any(not _in_range(tables[source], _before(first)).isEmpty() for source in sources)
+
+
+def _before(first: str) -> tuple[str, str]:
+    return "0001-01-01", (dt.date.fromisoformat(first) - dt.timedelta(1)).isoformat()
+
+
 def rebuild_days(lake: Warehouse, history: str, first: str, last: str, seq: int) -> None:
-    """G2/G4 for a range of days: the daily product rows from ``first`` to ``last`` are built and written.
+    """G2/G4/G8 for a range of days: the daily rows from ``first`` to ``last`` are built and written.
 
-    Only clean rows of these days are read, and what the range before has left at its right edge: one row per key. Without
+    Only clean rows of these days are read, and what the range before has left at its right edge. Without
     a range that ends before, the edge is found in the whole earlier history. A range is replaced when it is built again;
     ranges after it then have to be built again, too.
     """
+    if history == "category":
+        return _rebuild_categories(lake, first, last, seq)
     source, valid, rows = HISTORIES[history]
     tables, days = lake.tables(), (first, last)
-    edges = [day for day in lake.edges(history) if day < first]
-    if edges:
-        between = tables[source].where((F.col("date") > F.lit(edges[-1]).cast("date")) & (F.col("date") < F.lit(first).cast("date")))
-        if not between.isEmpty():
-            raise ValueError(f"{source} has days between {edges[-1]} and {first} that are not built")
-        carry = lake.read_edge(history, edges[-1])
+    edge = _edge_before(lake, history, (source,), first)
+    if edge is not None:
+        carry = lake.read_edge(history, edge)
     else:
-        before = (dt.date.fromisoformat(first) - dt.timedelta(1)).isoformat()
-        carry = right_edge(valid(tables, ("0001-01-01", before)))
+        carry = right_edge(valid(tables, _before(first))) if _any_before(tables, (source,), first) else None
     found = valid(tables, days, carry)
     lake.upsert_latest(rows(tables, found, days), "dws_goods_daily", f"{first}_{last}", seq, writer=f"rebuild-{history}")
     lake.write_edge(right_edge(found), history, last)  # last: with it the range is complete
+
+
+def _rebuild_categories(lake: Warehouse, first: str, last: str, seq: int) -> None:
+    tables, sources = lake.tables(), ("dwd_category_base", "dwd_goods_base", "dwd_malls_base")
+    edge = _edge_before(lake, "category-base", sources, first)
+    carry = {}
+    if edge is None:
+        if _any_before(tables, sources, first):
+            carry = category_days(tables, _before(first))[1]
+    else:
+        for part in _EDGE:
+            name = f"category-{part}"
+            days = [day for day in lake.edges(name) if day <= edge] if part in _SEEN else [edge]
+            carry[part] = reduce(DataFrame.unionByName, [lake.read_edge(name, day) for day in days])
+    held = []
+
+    def hold(df: DataFrame) -> DataFrame:
+        held.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return held[-1]
+
+    try:
+        rows, found = category_days(tables, (first, last), carry, hold)
+        lake.upsert_latest(rows, "dws_category_daily", f"{first}_{last}", seq, writer="rebuild-category")
+        for part in _EDGE:
+            if edge is None and carry and part in _SEEN:  # the ids before the first range, too
+                found[part] = found[part].unionByName(carry[part])
+            lake.write_edge(found[part], f"category-{part}", last)
+    finally:
+        for df in reversed(held):
+            df.unpersist()

@@ -52,12 +52,14 @@ def _in_ranges(history: str, *clean: str):
             lake.upsert_latest(_typed(t, table, table), table, "all", 1)
         for first, last in (("2024-01-01", "2024-01-09"), ("2024-01-10", "2024-01-10"), ("2024-01-11", "2024-12-31")):
             gold.rebuild_days(lake, history, first, last, 1)
-        return lake.scan("dws_goods_daily")
+        return lake.scan("dws_category_daily" if history == "category" else "dws_goods_daily")
     return run
 
 
 on("g2_goods_in_ranges", _in_ranges("goods", "dwd_goods_base", "dwd_review_base"), ORACLES["g2_goods_daily_rebuild"])
 on("g4_external_in_ranges", _in_ranges("external", "dwd_external_goods_daily"), ORACLES["g4_external_goods_daily_rebuild"])
+on("g8_category_in_ranges", _in_ranges("category", "dwd_category_base", "dwd_goods_base", "dwd_malls_base"),
+   ORACLES["g8_category_daily_rebuild"])
 
 
 def _next_day(t):
