@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemart.sources.readers import backfill_lines, read_source, resolve_options
 from tidemart.sources.tables import Warehouse
-from tidemart.streaming.runner import run_feed
+from tidemart.streaming.runner import launch_feed, run_feed
 
 SITE = ("siteId", "date", "regionId")
 
@@ -162,3 +162,18 @@ def test_backfill_lines(spark):
     df = spark.createDataFrame([('  {"goodsId": "12", "x": {"goodsId": 3}} ',), ("   ",), ("{}",)], "value string")
     assert [tuple(r) for r in backfill_lines(df).collect()] == [
         ("12", '{"goodsId": "12", "x": {"goodsId": 3}}'), (None, "{}")]
+
+
+def test_feed_from_arguments(spark, warehouse, tmp_path):
+    page = {"webLayoutData": {"headerData": {"region": {"regionInfo": {"siteId": 4, "regionId": 1, "regionName": "n"}}}}}
+    (tmp_path / "doc.json").write_text(json.dumps(page, indent=1))
+    args = ["--local", "--file", str(tmp_path / "doc.json")]
+    launch_feed(spark, "product_site", args, warehouse, str(tmp_path / "cp"), run_date="2024-01-01",
+                audit="counts").awaitTermination()
+    assert names(warehouse.scan("dwd_site_base")) == [(4, "2024-01-01", "n")]
+    counts = spark.read.parquet(f"{warehouse.root}/_audit/counts").collect()
+    assert sorted((r.layer, r.table, r.rows, r.rejected) for r in counts) == [
+        ("clean", "dwd_site_base", 1, 0), ("raw", "ods_site_raw", 1, 0)]
+    for bad in (["--local"], []):
+        with pytest.raises(ValueError):
+            launch_feed(spark, "product_site", bad, warehouse, str(tmp_path / "cp2"))

@@ -18,7 +18,7 @@ from tidemart.plans.standins import BIZ_DATE, with_tables
 from tidemart.schemas import TABLES
 from tidemart.sources.readers import backfill_lines, read_source
 from tidemart.sources.tables import Warehouse
-from tidemart.streaming.runner import run_feed, run_once
+from tidemart.streaming.runner import launch_feed, run_feed, run_once
 
 RUN_TS = f"{BIZ_DATE} 08:00:00"
 _BIZ = f"DATE '{BIZ_DATE}'"
@@ -44,7 +44,13 @@ def _messages(t, table: str | None, expr: str) -> DataFrame:
     return rows.repartition(t.spark.sparkContext.defaultParallelism).select(F.expr(expr).alias("value"))
 
 
+#: Registered feed queries: table and expression of their messages.
+MESSAGES: dict[str, tuple[str | None, str]] = {}
+
+
 def _feed(name, feed, table, expr, columns, oracle, side="clean"):
+    MESSAGES[name] = table, expr
+
     def run(t):
         rows = run_once(_messages(t, table, expr), feed, BIZ_DATE, RUN_TS)[side]
         return rows.selectExpr(*columns)
@@ -330,7 +336,7 @@ def _streamed(t) -> Warehouse:
     wh = Warehouse(t.spark, f"{base}/tables", files_per_day=2)
     lines = read_source(t.spark, "lines", f"{base}/in")
     run_feed(lines, "external_goods", wh, f"{base}/checkpoint", bounded=True, run_date=BIZ_DATE,
-             audit=False).awaitTermination()
+             audit="counts").awaitTermination()
     return wh
 
 
@@ -340,3 +346,22 @@ on("x2_raw_and_clean", lambda t: (lambda wh: wh.scan("ods_external_goods_raw").g
     F.count("*").alias("n"), F.sum(F.get(F.split("history", "createTime"), F.lit(2)).isNotNull().cast("int")).alias("two")))(
     _streamed(t)), with_tables(_EXTERNAL, """
 SELECT siteId, count(*) AS n, CAST(count(*) AS BIGINT) AS two FROM dwd_external_goods_daily GROUP BY siteId"""))
+
+
+def _launched(t) -> DataFrame:
+    """Store pages as files of their own, read by a feed that is started from arguments; the raw rows and the audit."""
+    base = scratch(t.spark)
+    table, expr = MESSAGES["i1_store_malls"]
+    _messages(t, table, expr).write.option("maxRecordsPerFile", 1).text(f"{base}/in")
+    wh = Warehouse(t.spark, f"{base}/tables", files_per_day=2)
+    launch_feed(t.spark, "store_malls", ["--local", "yes", f"--file={base}/in"], wh, f"{base}/checkpoint",
+                run_date=BIZ_DATE, audit="counts", interval="1 second").awaitTermination()
+    audit = t.spark.read.parquet(f"{wh.root}/_audit/counts").where("layer = 'raw'")
+    rows = wh.scan("ods_malls_raw").groupBy(F.col("siteId").cast("int").alias("siteId")).agg(F.count("*").alias("n"))
+    return rows.unionByName(audit.select(F.lit(-1).alias("siteId"), F.col("rows").alias("n"))
+                            .groupBy("siteId").agg(F.sum("n").alias("n")))
+
+
+on("x5_launched_from_arguments", _launched, with_tables(_MALLS, """
+SELECT siteId, count(*) AS n FROM dwd_malls_base GROUP BY siteId
+UNION ALL SELECT -1, count(*) FROM dwd_malls_base"""))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -78,7 +79,7 @@ def read_source(spark: SparkSession, kind: str, location: str, topic: str | None
     elif kind == "file":
         if spark.read.text(location, wholetext=True).where(F.trim("value") != "").isEmpty():
             raise ValueError(f"no message in {location}")
-        rows = spark.readStream.text(location, wholetext=True)
+        rows = _one_file(spark, location) or spark.readStream.text(location, wholetext=True)
     elif kind == "lines":
         rows = spark.readStream.text(location)
     else:
@@ -86,6 +87,16 @@ def read_source(spark: SparkSession, kind: str, location: str, topic: str | None
     return rows.where(F.length("value") > 0).select("value")
 
 
+def _one_file(spark: SparkSession, location: str) -> DataFrame | None:
+    """A stream of a single file; streams read folders, so it is picked from its own."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not (fs.exists(target) and fs.getFileStatus(target).isFile()):
+        return None
+    name = re.sub(r"([\\\[\]{}*?])", r"\\\1", target.getName())
+    return spark.readStream.option("pathGlobFilter", name).text(target.getParent().toString(), wholetext=True)
+
+
 def backfill_lines(lines: DataFrame, key_pattern: str | None = GOODS_KEY_PATTERN) -> DataFrame:
     """K3: JSON lines without blank ones, trimmed, with the first key match (NULL without one)."""
     value = F.trim(F.regexp_replace("value", r"^\s+|\s+$", ""))

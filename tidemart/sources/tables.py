@@ -169,6 +169,13 @@ class Warehouse:
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("_batch").parquet(self._path("_audit", "rows")))
 
+    def audit_counts(self, counts: list[tuple[str, str, int, int]], batch_id, seq: int) -> None:
+        """K9 without keys: loaded and rejected rows of a batch by layer and table, with its time."""
+        rows = self.spark.createDataFrame(counts, "layer string, table string, rows long, rejected long").coalesce(1)
+        (rows.withColumns({"time": F.timestamp_micros(F.lit(seq)), "_batch": F.lit(str(batch_id))})
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("_batch").parquet(self._path("_audit", "counts")))
+
     def keep_rejects(self, df: DataFrame, reason: str, batch_id) -> None:
         """Rows that could not be read or loaded, by reason and batch."""
         (df.withColumns({"reason": F.lit(reason), "_batch": F.lit(str(batch_id))})

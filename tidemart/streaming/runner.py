@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -12,13 +14,15 @@ from tidemart.operators.project import stamp
 from tidemart.operators.quality import check_schema, enforce_schema
 from tidemart.plans.ingest import FEEDS, Feed
 from tidemart.schemas import TABLES
+from tidemart.sources.readers import read_source, resolve_options
 from tidemart.sources.tables import Warehouse
 
+#: Default time between two batches.
 PROCESSING_TIME = "10 seconds"
 
 
 def write_batch(warehouse: Warehouse, feed: Feed, messages: DataFrame, batch_id: int, run_date=None,
-                audit: bool = True) -> None:
+                audit: bool | str = True) -> None:
     """One micro-batch. ``messages`` has ``value`` and ``run_ts``, the batch's own time.
 
     The documents and the records are computed once and feed both tables. The batch time comes
@@ -37,9 +41,10 @@ def write_batch(warehouse: Warehouse, feed: Feed, messages: DataFrame, batch_id:
         day = F.to_date("run_ts") if run_date is None else F.lit(run_date).cast("date")
         docs = parsed.where("doc is not null").withColumns(
             {"run_date": day, "run_ts": F.col("run_ts").cast("timestamp_ntz")}).drop("value")
-        newest = parsed.agg(F.max(F.unix_micros("run_ts"))).first()[0]
-        if newest is None:
+        stamp_row = parsed.select(F.unix_micros("run_ts")).first()  # one time for the whole batch
+        if stamp_row is None:
             return
+        newest = stamp_row[0]
         records = hold(feed.extract(docs))
         raw = hold(check_schema(feed.to_raw(records), TABLES[feed.raw_table]))
         clean = hold(check_schema(feed.to_clean(records), TABLES[feed.clean_table]))
@@ -55,21 +60,33 @@ def _write(warehouse, feed, raw, clean, bad, batch, seq, audit):
     warehouse.append_raw(good_raw, feed.raw_table, batch)
     arrival = F.monotonically_increasing_id()
     warehouse.upsert_latest(good_clean.withColumn("_arrival", arrival), feed.clean_table, batch, seq, ["_arrival"])
-    for table, checked in ((feed.raw_table, raw), (feed.clean_table, clean)):
-        rejects = checked.where(F.size("reasons") > 0).select("reasons", F.to_json("_row").alias("row"))
+    counts = []
+    for layer, table, checked in (("raw", feed.raw_table, raw), ("clean", feed.clean_table, clean)):
+        # Counted while the rejects are written: no further job, no shuffle.
+        seen, wrong = Observation(), F.size("reasons") > 0
+        checked = checked.observe(seen, F.count_if(~wrong).alias("rows"), F.count_if(wrong).alias("rejected"))
+        rejects = checked.where(wrong).select("reasons", F.to_json("_row").alias("row"))
         warehouse.keep_rejects(rejects, table, batch)
+        counts.append((layer, table, seen.get["rows"], seen.get["rejected"]))
     warehouse.keep_rejects(bad, f"unreadable-{feed.topic}", batch)
-    if audit:
+    if audit == "counts":
+        warehouse.audit_counts(counts, batch, seq)
+    elif audit:
         warehouse.audit(good_raw, "raw", feed.raw_table, batch)
         warehouse.audit(good_clean, "clean", feed.clean_table, batch)
 
 
 def run_feed(messages: DataFrame, feed: str | Feed, warehouse: Warehouse, checkpoint: str,
-             bounded: bool = False, run_date=None, audit: bool = True) -> StreamingQuery:
-    """Start one feed; ``bounded`` reads what is there, commits it and ends."""
+             bounded: bool = False, run_date=None, audit: bool | str = True,
+             interval: str = PROCESSING_TIME) -> StreamingQuery:
+    """Start one feed; ``bounded`` reads what is there, commits it and ends.
+
+    ``audit`` keeps rows per key and batch, or with ``"counts"`` only how many rows were loaded and rejected, which is free.
+    A batch begins every ``interval``, or when the one before has ended; each is a checkpoint.
+    """
     spec = FEEDS[feed] if isinstance(feed, str) else feed
     stamped = messages.withColumn("run_ts", F.current_timestamp())
-    trigger = {"availableNow": True} if bounded else {"processingTime": PROCESSING_TIME}
+    trigger = {"availableNow": True} if bounded else {"processingTime": interval}
     return (
         stamped.writeStream.queryName(spec.name)
         .option("checkpointLocation", checkpoint)
@@ -78,6 +95,24 @@ def run_feed(messages: DataFrame, feed: str | Feed, warehouse: Warehouse, checkp
     )
 
 
+def launch_feed(spark: SparkSession, feed: str, args: Sequence[str], warehouse: Warehouse, checkpoint: str,
+                broker: str | None = None, sample: str | None = None, **settings) -> StreamingQuery:
+    """Start a feed from a job's arguments.
+
+    With ``--local`` the documents of ``--file`` (a file or a folder, by default ``sample``) are read whole, and the feed ends
+    with them; else the feed's topic is read from ``broker``. ``settings`` go to :func:`run_feed`.
+    """
+    options, spec = resolve_options(args, sample), FEEDS[feed]
+    if options.kind == "file":
+        if options.path is None:
+            raise ValueError("--local needs --file")
+        return run_feed(read_source(spark, "file", options.path), spec, warehouse, checkpoint, **{"bounded": True, **settings})
+    if broker is None:
+        raise ValueError("no broker to read the topic from")
+    messages = read_source(spark, "kafka", broker, topic=spec.topic, group=spec.group)
+    return run_feed(messages, spec, warehouse, checkpoint, **settings)
+
+
 def run_once(messages: DataFrame, feed: str, run_date, run_ts) -> dict[str, DataFrame]:
     """The rows one batch of messages yields, without writing: raw, clean and rejected ones."""
     spec = FEEDS[feed]
