@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemart.functions import clean
 from tidemart.functions.jsonpath import once
 from tidemart.operators.project import SPARK_TYPES
-from tidemart.schemas import TABLES, Table
+from tidemart.schemas import TABLES, TEXT_BYTES, Table
 
 
 def _loaded(df: DataFrame, name: str, kind: str) -> tuple[Column, Column]:
@@ -27,14 +27,19 @@ def _loaded(df: DataFrame, name: str, kind: str) -> tuple[Column, Column]:
 
 
 def check_schema(df: DataFrame, table: Table) -> DataFrame:
-    """Typed columns of the table plus ``reasons``: the columns that keep a row from being loaded."""
-    values, reasons = [], []
+    """Typed columns of the table plus ``reasons``: the columns that keep a row from being loaded.
+
+    Text that has more bytes than its column may hold keeps its row out, too; such a reason names the bound.
+    """
+    values, reasons, bounds = [], [], TEXT_BYTES.get(table.name, {})
     for name, kind in table.types.items():
         value, bad = _loaded(df, name, kind)
         if name in table.required:
             bad = bad | value.isNull()
         values.append(value.alias(name))
         reasons.append(F.when(bad, F.lit(name)))
+        if name in bounds and name in df.columns:
+            reasons.append(F.when(F.octet_length(value) > bounds[name], F.lit(f"{name}: over {bounds[name]} bytes")))
     failed = once(F.filter(F.array(*reasons), lambda r: r.isNotNull()))
     return df.select(*values, failed.alias("reasons"), F.struct(*[F.col(c) for c in df.columns]).alias("_row"))
 

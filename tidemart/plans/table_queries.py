@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemart.operators import quality
 from tidemart.operators.asof import cumulative_distinct, next_distinct
 from tidemart.operators.keyed import date_spine, first_seen
 from tidemart.plans import gold
@@ -111,3 +112,22 @@ def _merged_raw(t):
 
 on("k4_merged_raw_days", _merged_raw, """
 SELECT CAST(ts AS DATE) AS date, 2 * count(*) AS n, true AS few_files FROM events GROUP BY ALL""")
+
+
+def _too_long(t):
+    """Texts around their bounds, some of characters of two bytes."""
+    rows = t["events"].select(
+        (F.col("event_id") % 4).alias("siteId"), F.col("user_id").alias("regionId"), F.to_date("ts").alias("date"),
+        F.expr("repeat('é', int(event_id % 13))").alias("phoneCode"), F.expr("repeat('x', int(event_id % 300))").alias("regionName"))
+    good, rejects = quality.enforce_schema(rows, TABLES["dwd_site_base"])
+    return good.select("regionId", F.lit("").alias("why"), F.length("regionName").alias("n")).unionByName(
+        rejects.select(F.get_json_object("row", "$.regionId").cast("bigint").alias("regionId"),
+                       F.concat_ws(",", "reasons").alias("why"), F.lit(None).cast("int").alias("n")))
+
+
+on("k8_text_lengths", _too_long, """
+SELECT user_id AS regionId, CASE WHEN long AND wide THEN 'regionName: over 255 bytes,phoneCode: over 20 bytes'
+    WHEN long THEN 'regionName: over 255 bytes' WHEN wide THEN 'phoneCode: over 20 bytes' ELSE '' END AS why,
+  CASE WHEN NOT long AND NOT wide THEN event_id % 300 END AS n
+FROM (SELECT user_id, event_id, event_id % 300 > 255 AS long, strlen(repeat('é', CAST(event_id % 13 AS INT))) > 20 AS wide
+      FROM events)""")

@@ -208,6 +208,27 @@ goodsScore DECIMAL(10,2), reviewNum BIGINT,
 historyCreateTime DATETIME, historyUpdateTime DATETIME
 """
 
+# Bytes that text columns may hold, in table order; other text has no bound.
+TEXT_BYTES: dict[str, dict[str, int]] = {
+    "ods_category_raw": {
+        "catId": 64, "optName": 512, "title": 512, "tagDesc": 512, "imageUrl": 512, "seoLinkUrl": 1024, "shareUrl": 512,
+        "linkUrl": 1024, "href": 1024, "userAgent": 512, "fromUrl": 1024, "serverTime": 64, "timezone": 64, "lang": 32,
+        "selectedLang": 32},
+    "dwd_category_base": {
+        "lang": 32, "catId": 64, "optName": 512, "title": 512, "tagDesc": 512, "imageUrl": 512, "seoLinkUrl": 1024,
+        "shareUrl": 512, "linkUrl": 1024, "href": 1024},
+    "dws_category_daily": {"optNameEnglish": 512, "optNameChinese": 512},
+    "ods_review_raw": {"reviewId": 64, "goodsId": 64, "skuId": 64, "lang": 32, "selectedLang": 32},
+    "dwd_review_base": {"reviewId": 64, "lang": 32, "goodsId": 64, "skuId": 64},
+    "dws_review_daily": {"reviewId": 64, "goodsId": 64, "skuId": 64},
+    "ods_site_raw": {
+        "regionName": 255, "regionShortNamelinkUrl": 100, "lang": 50, "phoneCode": 20, "selectedLang": 50,
+        "selectedCurrency": 20, "regionImageUrl": 1024, "userAgent": 1024, "timezone": 100},
+    "dwd_site_base": {
+        "regionName": 255, "lang": 50, "regionShortNamelinkUrl": 50, "phoneCode": 20, "selectedLang": 50,
+        "selectedCurrency": 20, "regionImageUrl": 500, "userAgent": 1024, "timezone": 100},
+}
+
 _GOODS_KEY = ("goodsId", "siteId", "date")
 _MALL_KEY = ("mallId", "siteId", "date")
 _OPT_KEY = ("date", "optId", "siteId")
