@@ -11,12 +11,6 @@ from __future__ import annotations
 REGION = "webLayoutData.headerData.region.regionInfo"
 SEARCH_REGION = "layoutData.headerData.region.regionInfo"
 
-
-def same_names(parent: str, names: str) -> dict[str, str]:
-    """Columns that carry the name of the field they come from."""
-    return {name: f"{parent}.{name}" if parent else name for name in names.split()}
-
-
 # Places of a product page that hold reviews.
 PAGE_REVIEWS = "review.reviewData.reviewInfoList[i]"
 PAGE_SIMILAR = "review.reviewData.similarReview.reviewInfoList[i]"
@@ -65,12 +59,17 @@ PRODUCT_GOODS = {
         f"{PAGE_SIMILAR}.goodsId", f"{STORE_SIMILAR}.goodsId", f"{PAGE_REVIEWS}.goodsId",
         f"{STORE_FIRST_PAGES}.goodsId",
     ],
+    "siteId": f"{REGION}.siteId",
     "mallId": ["goods.mallId", "mall.mallData.mallId", "moduleMap.mallModule.data.mallData.mallId"],
+    "sellerType": "goods.sellerType",
     "defaultSkuId": ["control.defaultSkuId", "skuControl.defaultSkuId"],
-    **same_names(REGION, "siteId selectedLang selectedCurrency"),
+    "selectedLang": f"{REGION}.selectedLang",
     "lang": [f"{REGION}.supportedLangList[0].lang", "lang"],
+    "selectedCurrency": f"{REGION}.selectedCurrency",
     "optId": ["optId", "crumbOptList[0].optId"],
     "optType": "crumbOptList[0].optType",
+    "optLevel": "optLevel",
+    "catId": "goods.catId",
     "catInfo": "crumbOptList",
     "title": ["goods.goodsName", f"{STORE_SIMILAR}.goodsInfo.goodsName", f"{PAGE_SIMILAR}.goodsInfo.goodsName"],
     "goodsName": ["goods.goodsName", f"{STORE_SIMILAR}.goodsInfo.goodsName", f"{PAGE_SIMILAR}.goodsInfo.goodsName"],
@@ -90,19 +89,25 @@ PRODUCT_GOODS = {
     "salesTipTextList": "goods.saleInfo",
     "businessReduction": "sku[0].skuExt.business_reduction",
     "isOnsale": "formatSkuData.skuInfos.value.isOnsale",
+    "isShowMarketPrice": "isShowMarketPrice",
+    "isSkc": "isSkc",
+    "qty": "qty",
     "status": [
         f"{STORE_SIMILAR}.opList[0].status", "goods.status", f"{PAGE_REVIEWS}.opList[0].status",
         f"{STORE_COMMENTS}.opList[0].status", f"{STORE_PAGES}.opList[0].status",
         f"{STORE_FIRST_PAGES}.opList[0].status", f"{PAGE_SIMILAR}.opList[0].status",
     ],
+    "soldOutSubscribeStatus": "goods.soldOutSubscribeStatus",
     # The sales figure of a product page is the one of its store.
     "salesNum": "mall.mallData.goodsSalesNumUnit[0]",
+    "soldQuantity": "goods.soldQuantity",
     "reviewNum": [
         "reviewStore.similarReview.reviewNum", "reviewStore.reviewNum", "commentBigPictureStore.reviewNum",
         "review.reviewData.reviewNum", "reviewStore.mallReview.reviewNum",
         "review.reviewData.mallReview.reviewNum", "review.reviewData.similarReview.reviewNum",
     ],
     "sortTypeStyle": "review.reviewData.expParams.sortTypeStyle",
+    "goodsScore": "review.reviewData.goodsScore",
     "showScore": "reviewStore.showScore",
     "reviewScore": "review.reviewScore",
     "seoLinkUrl": [
@@ -111,76 +116,101 @@ PRODUCT_GOODS = {
     ],
     "defaultSelectSpec": "control.defaultSelectSpec.0",
     "minOnSalePrice": ["goods.minOnSalePrice", "goodsExt.minOnSalePrice"],
+    "maxOnSalePrice": "goods.maxOnSalePrice",
     "priceInfo": "goods.salePriceRich",
+    "salePriceRich": "goods.salePriceRich",
+    "minToMaxSalePriceRich": "goods.minToMaxSalePriceRich",
     "image": [
         "goods.gallery.0", f"{PAGE_REVIEWS}.list[0]", f"{PAGE_SIMILAR}.list[0]", f"{STORE_SIMILAR}.list[0]",
         f"{STORE_PAGES}.list[0]", f"{STORE_COMMENTS}.list[0]", f"{STORE_FIRST_PAGES}.list[0]",
     ],
     "brandCard": "mall.mallData",
+    "hdThumbUrl": "goods.hdThumbUrl",
     "thumbUrl": [
         "goods.thumbUrl", "sku[0].thumbUrl", "formatSkuData.skuInfos.value.thumbUrl",
         f"{STORE_SIMILAR}.goodsInfo.thumbUrl", f"{PAGE_SIMILAR}.goodsInfo.thumbUrl",
     ],
     "imageUrl": ["goods.imageUrl", "crumbOptList[0].imageUrl", f"{REGION}.imageUrl"],
     "searchKey": "query.search_key",
+    "video": "goods.video",
     "pageAlt": "seoPageAltInfo.pageAlt",
     "semiManaged": "goods.isLocalGoods",
     "benefitText": "webLayoutData.activityInfoData.object.benefits.0.content.0.title",
+    "isLocalGoods": "goods.isLocalGoods",
+    "itemId": "goods.itemId",
+    "isManualChangeSpec": "isManualChangeSpec",
+    "iterationSku": "goods.iterationSku",
+    "clothFitReviewText": "review.reviewData.clothFitReviewText",
+    "popupClothFitReviewText": "review.reviewData.popupClothFitReviewText",
     "bestSellerModule": "moduleMap.bestSellerModule",
     "pageLabelsInfo{}": "reviewStore.pageLabelsInfo",
+    "gallery": "goods.gallery",
+    "goodsProperty": "goods.goodsProperty",
+    "bannerList": "goods.bannerList",
     "detailList": "webLayoutData.footerData.supportedPayIconDetailList",
+    "customImageList": "goods.customImageList",
+    "rows": "goods.rows",
+    "statusExplain": "goods.statusExplain",
+    "checkQuantity": "goods.checkQuantity",
+    "sizeGuide": "sizeGuide",
     "skcList": "goods.skc",
     "skuList": "formatSkuData.skuInfos",
     "specCustom": "specCustom.skuStockQuantityTipsInfo",
+    "productDetailFlatList": "productDetailFlatList",
     "productDetail": "productDetail.floorList",
     "extendFields": "webLayoutData.headerData.searchInfo.shadeWords.0.extendFields",
+    "activityInfo": "activityInfo",
+    "crumbOptList": "crumbOptList",
     "tagCode": "moduleMap.mallModule.data.mallData.mallTags[0].tagCode",
     "pRec": "crumbOptList.0.pRec",
+    "userAgent": "userAgent",
     "fromUrl": "webLayoutData.commonData.query.refer_page_name",
     "serverTime": ["serverTime", "webLayoutData.activityInfoData.serverTime"],
     "timezone": ["localInfo.timezone", "webLayoutData.commonData.localInfo.timezone"],
-    **same_names(
-        "goods",
-        "sellerType catId soldOutSubscribeStatus soldQuantity maxOnSalePrice salePriceRich minToMaxSalePriceRich "
-        "hdThumbUrl video isLocalGoods itemId iterationSku gallery goodsProperty bannerList customImageList rows "
-        "statusExplain checkQuantity",
-    ),
-    **same_names("review.reviewData", "goodsScore clothFitReviewText popupClothFitReviewText"),
-    **same_names(
-        "",
-        "optLevel isShowMarketPrice isSkc qty isManualChangeSpec sizeGuide productDetailFlatList activityInfo "
-        "crumbOptList userAgent",
-    ),
 }
 
 _MALL_DATA = "mall.mallData"
 PRODUCT_MALLS = {
     "mallId": "goods.mallId",
-    "reviewNum": "reviewStore.mallReview.reviewNum",
-    "reviewNumStr": "reviewStore.mallReview.reviewNumStr",
+    "siteId": f"{REGION}.siteId",
+    "mallName": f"{_MALL_DATA}.mallName",
+    "mallLogo": f"{_MALL_DATA}.mallLogo",
+    "goodsNum": f"{_MALL_DATA}.goodsNum",
+    "goodsNumV2": f"{_MALL_DATA}.goodsNumV2",
+    "goodsNumUnit": f"{_MALL_DATA}.goodsNumUnit",
     "goodsNumLowercaseUnit": f"{_MALL_DATA}.goodsNumUnit[1]",
     "mallStar": "review.reviewData.mallReview.mallScore",
     "mallStarStr": "reviewStore.mallReview.mallScoreText",
+    "shortenMallStar": f"{_MALL_DATA}.shortenMallStar",
     "goodsSalesNum": f"{_MALL_DATA}.goodsSalesNumUnit[0]",
+    "goodsSalesNumUnit": f"{_MALL_DATA}.goodsSalesNumUnit",
     "goodsSalesBrief": f"{_MALL_DATA}.goodsSalesNumUnit[1]",
     "followerNum": f"{_MALL_DATA}.followerNumUnit[0]",
+    "followerNumUnit": f"{_MALL_DATA}.followerNumUnit",
     # A store is semi-managed when its product is a local one.
     "semiManaged": "goods.isLocalGoods",
+    "channelType": f"{_MALL_DATA}.channelType",
+    "searchUrl": f"{_MALL_DATA}.searchUrl",
+    "seoUrl": f"{_MALL_DATA}.seoUrl",
+    "mallJumpUrl": f"{_MALL_DATA}.mallJumpUrl",
+    "mallTags": f"{_MALL_DATA}.mallTags[0]",
+    "reviewNum": "reviewStore.mallReview.reviewNum",
+    "reviewNumStr": "reviewStore.mallReview.reviewNumStr",
     "scoreNumInfoList": f"{_MALL_DATA}.scoreNumInfoList[0]",
+    "mallReviewLabelShow": f"{_MALL_DATA}.mallReviewLabelShow",
     "mallReviewLinkUrl": "reviewStore.mallReview.mallReviewLinkUrl",
-    "optList": "crumbOptList",
-    "mallTags": f"{_MALL_DATA}.mallTags[0]",
-    "source": "webLayoutData.headerData.titleBarList",
+    "isExpire": f"{_MALL_DATA}.isExpire",
+    "userAgent": "userAgent",
     "fromUrl": "webLayoutData.commonData.query.refer_page_name",
+    "serverTime": "serverTime",
     "timezone": "localInfo.timezone",
-    **same_names(
-        _MALL_DATA,
-        "mallName mallLogo goodsNum goodsNumV2 goodsNumUnit shortenMallStar goodsSalesNumUnit followerNumUnit "
-        "channelType searchUrl seoUrl mallJumpUrl shareInfo topShopInfo mallReviewLabelShow semiManagedMallTags "
-        "isExpire",
-    ),
-    **same_names(REGION, "siteId selectedLang"),
-    **same_names("", "userAgent serverTime lang"),
+    "lang": "lang",
+    "selectedLang": f"{REGION}.selectedLang",
+    "source": "webLayoutData.headerData.titleBarList",
+    "shareInfo": f"{_MALL_DATA}.shareInfo",
+    "topShopInfo": f"{_MALL_DATA}.topShopInfo",
+    "semiManagedMallTags": f"{_MALL_DATA}.semiManagedMallTags",
+    "optList": "crumbOptList",
 }
 PRODUCT_MALLS_JSON_TEXT = (
     "goodsNumUnit", "goodsSalesNumUnit", "followerNumUnit", "shareInfo", "scoreNumInfoList", "topShopInfo",
@@ -189,98 +219,163 @@ PRODUCT_MALLS_JSON_TEXT = (
 
 STORE_MALLS = {
     "mallId": "mallId",
+    "siteId": f"{REGION}.siteId",
+    "mallName": "mallInfo.mallName",
+    "mallLogo": "mallInfo.mallLogo",
     "picUrl": "mallInfo.mallInfo.components[0].picUrl",
+    "avatar": "userInfo.avatar",
+    "appCode": "userInfo.appCode",
+    "nickname": "userInfo.nickname",
+    "isDefaultAvatar": "userInfo.isDefaultAvatar",
+    "goodsNum": "mallInfo.goodsNum",
+    "goodsNumV2": "mallInfo.goodsNumV2",
+    "goodsNumUnit": "mallInfo.goodsNumUnit",
+    "goodsNumLowercaseUnit": "mallInfo.goodsNumLowercaseUnit",
+    "mallStar": "mallInfo.mallStar",
+    "mallStarStr": "mallInfo.mallStarStr",
+    "shortenMallStar": "mallInfo.shortenMallStar",
+    "goodsSalesNum": "mallInfo.goodsSalesNum",
+    "goodsSalesNumUnit": "mallInfo.goodsSalesNumUnit",
+    "goodsSalesBrief": "mallInfo.goodsSalesBrief",
+    "followerNum": "mallInfo.followerNum",
+    "followerNumUnit": "mallInfo.followerNumUnit",
+    "semiManaged": "mallInfo.semiManaged",
+    "channelType": "mallInfo.channelType",
+    "searchUrl": "mallInfo.searchUrl",
     "seoUrl": "webLayoutData.headerData.searchInfo.shadeWords.0.seoUrl",
+    "mallJumpUrl": "mallInfo.mallJumpUrl",
+    "mallTags": "mallInfo.mallTags",
+    "reviewNum": "mallInfo.reviewNum",
     "reviewNumStr": "commentStore.commentInfo.reviewNumStr",
     "scoreNumInfoList": "commentStore.commentInfo.scoreNumInfoList",
+    "mallReviewLabelShow": "commentStore.commentInfo.mallInfo.mallReviewLabelShow",
+    "mallReviewLinkUrl": "commentStore.commentInfo.mallInfo.mallReviewLinkUrl",
+    "isExpire": "isExpire",
+    "userAgent": "userAgent",
+    "fromUrl": "fromUrl",
+    "serverTime": "mallInfo.serverTime",
     "timezone": "localInfo.timezone",
+    "lang": "lang",
+    "selectedLang": f"{REGION}.selectedLang",
+    "source": "mallInfo.source",
+    "shareInfo": "mallInfo.shareInfo",
+    "topShopInfo": "mallInfo.topShopInfo",
+    "semiManagedMallTags": "mallInfo.semiManagedMallTags",
     "marketPriceType": "categoryStore.goodsList[0].data.priceInfo.marketPriceType",
     "goodsSimpleInfoList": "decorationStore.decorationData.Home.data[0].goodsSimpleInfoList",
     "isAiReview": "commentBigPictureStore.isAiReview",
     "optList": "categoryStore.tabList",
-    **same_names(
-        "mallInfo",
-        "mallName mallLogo goodsNum goodsNumV2 goodsNumUnit goodsNumLowercaseUnit mallStar mallStarStr "
-        "shortenMallStar goodsSalesNum goodsSalesNumUnit goodsSalesBrief followerNum followerNumUnit semiManaged "
-        "channelType searchUrl mallJumpUrl mallTags reviewNum serverTime source shareInfo topShopInfo "
-        "semiManagedMallTags",
-    ),
-    **same_names("userInfo", "avatar appCode nickname isDefaultAvatar"),
-    **same_names("commentStore.commentInfo.mallInfo", "mallReviewLabelShow mallReviewLinkUrl"),
-    **same_names(REGION, "siteId selectedLang"),
-    **same_names("", "isExpire userAgent fromUrl lang"),
 }
 
 # Category columns taken from one breadcrumb entry, and from the page around it.
 CRUMB_FIELDS = {
+    "optId": "optId",
     "catId": "optId",
+    "optName": "optName",
+    "title": "title",
+    "tagDesc": "tagDesc",
+    "optType": "optType",
+    "imageUrl": "imageUrl",
+    "disableDup": "disableDup",
+    "bubbleInfo": "bubbleInfo",
+    "pattern": "pattern",
+    "priority": "priority",
+    "seoLinkUrl": "seoLinkUrl",
+    "tabType": "tabType",
+    "parentId": "parentId",
     "shareUrl": "seoLinkUrl",
-    **same_names(
-        "",
-        "optId optName title tagDesc optType imageUrl disableDup bubbleInfo pattern priority seoLinkUrl tabType "
-        "parentId linkUrl href isFeatured pRec",
-    ),
+    "linkUrl": "linkUrl",
+    "href": "href",
+    "isFeatured": "isFeatured",
+    "pRec": "pRec",
 }
 CRUMB_PAGE_FIELDS = {
+    "siteId": f"{REGION}.siteId",
+    "selectedLang": f"{REGION}.selectedLang",
+    "lang": "webLayoutData.commonData.localInfo.language",
     "optLevel": "optLevel",
     "userAgent": "userAgent",
     "fromUrl": "webLayoutData.commonData.query.refer_page_name",
     "serverTime": "serverTime",
     "timezone": "localInfo.timezone",
-    "lang": "webLayoutData.commonData.localInfo.language",
-    **same_names(REGION, "siteId selectedLang"),
 }
 
 PRODUCT_SITE = {
-    **same_names(
-        REGION, "siteId regionId regionName phoneCode selectedLang selectedCurrency supportedLangList"
-    ),
+    "siteId": f"{REGION}.siteId",
+    "regionId": f"{REGION}.regionId",
+    "regionName": f"{REGION}.regionName",
     "regionShortNamelinkUrl": f"{REGION}.regionShortName",
+    "lang": "lang",
+    "phoneCode": f"{REGION}.phoneCode",
+    "selectedLang": f"{REGION}.selectedLang",
+    "selectedCurrency": f"{REGION}.selectedCurrency",
+    "supportedLangList": f"{REGION}.supportedLangList",
     "supportedCurrencyList": f"{REGION}.supportedCurrencyList[0]",
     "regionImageUrl": f"{REGION}.imageUrl",
-    "timezone": "localInfo.timezone",
+    "userAgent": "userAgent",
     "fromUrl": "webLayoutData.commonData.query.refer_page_name",
-    **same_names("", "userAgent serverTime lang"),
+    "serverTime": "serverTime",
+    "timezone": "localInfo.timezone",
 }
 SEARCH_SITE = {
-    **same_names(SEARCH_REGION, "siteId regionName phoneCode selectedLang selectedCurrency"),
+    "siteId": f"{SEARCH_REGION}.siteId",
     "regionId": "localInfo.region",
+    "regionName": f"{SEARCH_REGION}.regionName",
     "regionShortNamelinkUrl": f"{SEARCH_REGION}.regionShortName",
+    "lang": "localInfo.language",
+    "phoneCode": f"{SEARCH_REGION}.phoneCode",
+    "selectedLang": f"{SEARCH_REGION}.selectedLang",
+    "selectedCurrency": f"{SEARCH_REGION}.selectedCurrency",
     "supportedLangList": f"{SEARCH_REGION}.supportedLangList[0]",
     "supportedCurrencyList": f"{SEARCH_REGION}.supportedCurrencyList[0]",
     "regionImageUrl": f"{SEARCH_REGION}.imageUrl",
+    "userAgent": "userAgent",
+    "fromUrl": "fromUrl",
     "serverTime": "layoutData.activityInfoData.serverTime",
     "timezone": "localInfo.timezone",
-    "lang": "localInfo.language",
-    **same_names("", "userAgent fromUrl"),
 }
 
 # Search result pages: one list of products, its entries wrapped in ``data``.
 SEARCH_LIST = "goodsList"
 SEARCH_CATEGORY_ITEM = {
-    **same_names("data", "optId optType seoLinkUrl linkUrl"),
+    "optId": "data.optId",
+    "optType": "data.optType",
+    "linkUrl": "data.linkUrl",
+    "seoLinkUrl": "data.seoLinkUrl",
     "pRec": "data.pSearch",
 }
 SEARCH_CATEGORY_PAGE = {
+    "siteId": f"{SEARCH_REGION}.siteId",
+    "pattern": "pattern",
+    "userAgent": "userAgent",
+    "fromUrl": "fromUrl",
     "serverTime": "layoutData.activityInfoData.serverTime",
     "timezone": "localInfo.timezone",
     "lang": "localInfo.language",
-    **same_names(SEARCH_REGION, "siteId selectedLang"),
-    **same_names("", "pattern userAgent fromUrl"),
+    "selectedLang": f"{SEARCH_REGION}.selectedLang",
 }
 SEARCH_GOODS_ITEM = {
-    **same_names(
-        "data", "goodsId mallId currentSkuId optType title linkUrl activityType salesNum priceInfo image"
-    ),
+    "goodsId": "data.goodsId",
+    "mallId": "data.mallId",
+    "currentSkuId": "data.currentSkuId",
+    "optType": "data.optType",
+    "title": "data.title",
+    "linkUrl": "data.linkUrl",
+    "activityType": "data.activityType",
     "sideSalesTip": "data.salesTip",
+    "salesNum": "data.salesNum",
     "commentNumTips": "data.comment",
     "goodsScore": "data.comment",
     "hiddenComment": "data.comment",
     "seoLinkUrl": "data.skcList[0]",
+    "priceInfo": "data.priceInfo",
+    "image": "data.image",
 }
 SEARCH_GOODS_PAGE = {
-    **same_names(SEARCH_REGION, "siteId selectedLang selectedCurrency"),
+    "siteId": f"{SEARCH_REGION}.siteId",
+    "selectedLang": f"{SEARCH_REGION}.selectedLang",
     "lang": f"{SEARCH_REGION}.supportedLangList[0]",
+    "selectedCurrency": f"{SEARCH_REGION}.selectedCurrency",
 }
 
 # Load-more responses: snake-case entries, page fields at the root.
@@ -294,10 +389,15 @@ MORE_CATEGORY_ITEM = {
     "linkUrl": "link_url",
 }
 MORE_CATEGORY_PAGE = {
+    "siteId": "siteId",
     "pattern": "data.pattern",
-    "serverTime": "server_time",
     "pRec": "data.p_search",
-    **same_names("", "siteId userAgent fromUrl timezone lang selectedLang"),
+    "userAgent": "userAgent",
+    "fromUrl": "fromUrl",
+    "serverTime": "server_time",
+    "timezone": "timezone",
+    "lang": "lang",
+    "selectedLang": "selectedLang",
 }
 MORE_GOODS_ITEM = {
     "goodsId": "goods_id",
@@ -337,7 +437,8 @@ MORE_GOODS_ITEM = {
 }
 # Load-more product rows carry no site.
 MORE_GOODS_PAGE = {
-    "serverTime": "server_time",
     "quickLook": "data.quick_look",
-    **same_names("", "userAgent fromUrl"),
+    "userAgent": "userAgent",
+    "fromUrl": "fromUrl",
+    "serverTime": "server_time",
 }
