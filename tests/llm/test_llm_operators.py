@@ -230,7 +230,7 @@ def test_toxicity_of_a_rare_language():
         texts.append(" ".join(text))
         labels.append(int(toxic))
     model = toxicity.fit(texts[:1000], labels[:1000], 0.2)
-    gains = toxicity.Gains(model.toxic, model.ordinary, model.words)
+    gains = toxicity.Gains(model.toxic, model.ordinary)
     caught = model.score(np.array([gains.features(t) for t in texts[1000:]])) >= 0.5
     for other in (False, True):
         rows = [(c, y) for i, c, y in zip(range(1000, 1500), caught, labels[1000:], strict=True) if (i % 4 == 0) == other]
@@ -238,6 +238,26 @@ def test_toxicity_of_a_rare_language():
         assert sum(c and not y for c, y in rows) <= 0.05 * len(rows)
 
 
+def test_toxicity_windows():
+    # Long runs, as of scripts without spaces, give overlapping pieces that reach the end; no byte of a word is left out.
+    run = "語" * 5 + "悪い奴" + "文" * 40
+    pieces = toxicity.windows(run.encode())
+    assert "悪い奴".encode() in pieces and {len(p) for p in pieces[:-1]} == {toxicity.PIECE}
+    assert pieces[-1].endswith("文".encode()) and sum(len(p) > 0 for p in pieces) == len(pieces)
+    odd = b"a" * 47
+    got = toxicity.windows(odd)
+    assert (len(got) - 1) * toxicity.STEP + len(got[-1]) == len(odd)
+    # Telling words are in the toxic dictionary whole, and only they gain; a very long text keeps a telling word at its end.
+    toxic = [f"{words(i, 20)} Moron! {words(i + 5000, 20)}".lower().encode() for i in range(40)]
+    plain = [words(i + 9000, 300).encode() for i in range(200)]
+    gains = toxicity.Gains(*toxicity.dictionaries(toxic, plain))
+    assert toxicity.telling_words(toxic, plain) == [b"moron"] and gains.gain(b"moron") >= 2
+    assert max(gains.gain(w) for text in plain[:20] for w in toxicity.windows(text)) < 2
+    long = words(1, 200_000)
+    assert gains.features(long + " moron")[0] > gains.features(long)[0]
+    assert gains.features(None) == gains.features("") == gains.features(" \n !")
+
+
 def test_html():
     draw, pages = random.Random(8), []
     for i in range(120):

@@ -118,7 +118,7 @@ def test_stages_by_brute_force(spark):
         toxic = set()
         if name == "toxicity":  # the model row by row, outside Spark
             model = toxicity.train(docs, labels)
-            gains = toxicity.Gains(model.toxic, model.ordinary, model.words)
+            gains = toxicity.Gains(model.toxic, model.ordinary)
             toxic = {i for i, text in rows.items() if model.score(np.array([gains.features(text)], float))[0] >= 0.5}
         docs = corpus_pipeline.staged(stage(spark, docs, SF_DIR))
         got = docs.collect()

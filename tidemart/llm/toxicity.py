@@ -1,5 +1,4 @@
-"""Toxicity by compression distance, which of two zstandard dictionaries makes a window of text shorter, and by
-whole words that tell."""
+"""Toxicity by compression distance: which of two zstandard dictionaries makes a window of text shorter."""
 
 from __future__ import annotations
 
@@ -20,28 +19,31 @@ from tidemart.llm.common import load, small_batches
 
 #: Labelled rows the model is fitted on: at most so many of each label, those with the smallest hash of the id.
 TOXIC_ROWS, ORDINARY_ROWS = 1500, 3000
-#: Bytes of a window, cut at a space, and of the two dictionaries.
-WINDOW, TOXIC_BYTES, ORDINARY_BYTES = 96, 2048, 98304
-#: A run of so many bytes, or a whole word, leans to toxic text if it is in so many of its documents, this share of
-#: them and this much likelier there. Short runs of a language are in its ordinary rows as well, where whole words of
-#: the same letters aren't; runs serve scripts that are written without spaces.
-GRAM, LEAST, SHARE, RATIO = 5, 4, 0.005, 30.0
+#: Bytes of the words in the toxic dictionary, and of the trained ordinary one, which both sides begin with.
+TOXIC_BYTES, ORDINARY_BYTES = 8192, 98304
+#: A window is one whole word. Longer runs, as of scripts without spaces, give overlapping pieces, one every ``STEP`` bytes.
+LONGEST, PIECE, STEP = 40, 9, 3
+#: A word goes to the toxic dictionary if it is in so many of its documents, this share of them and this much likelier there.
+LEAST, SHARE, RATIO = 4, 0.005, 30.0
 #: Bytes by which a window must be shorter with the toxic dictionary to count, per counter.
 GAINS = (1, 2, 3, 4)
-_HASH_BITS = 22
-#: Features besides those per counter: of the windows, then of the telling words.
-_PLAIN = 4 + 3
+#: Gains a worker remembers at most before it begins anew; results don't depend on it.
+REMEMBERED = 500_000
+#: Bytes of a sample the ordinary dictionary is trained on, and samples at most.
+_SAMPLE, _SAMPLES = 96, 60000
 # ASCII letters and digits, and all bytes of other letters.
 _WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
+# Both dictionaries end with the first, each window begins with it and ends with the second, which neither holds. Without them
+# zstandard stores a short window as it is: a block must save some bytes, and its last eight aren't searched.
+_BEGIN, _END = bytes(range(0xE0, 0xF0)), bytes(range(0x10, 0x18))
 
 
 @dataclass
 class Model:
-    """Both dictionaries, the telling words and the calibration over what a document's text has of them."""
+    """Both dictionaries, and the calibration over a document's window gains."""
 
     toxic: bytes
     ordinary: bytes
-    words: frozenset[bytes]
     mean: np.ndarray
     spread: np.ndarray
     weights: np.ndarray
@@ -51,25 +53,27 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+def _plain(text: str | None) -> bytes:
+    return (text or "").encode("utf-8", "replace").lower()
+
+
 def windows(text: bytes) -> list[bytes]:
-    """The whole text in pieces of at most ``WINDOW`` bytes, cut before a space where there is one."""
-    out, at = [], 0
-    while at < len(text):
-        end = at + WINDOW
-        if end < len(text):
-            space = text.rfind(b" ", at + 1, end)
-            end = space if space > at else end
-        out.append(text[at:end])
-        at = end
+    """The words of the whole text in order, long runs in overlapping pieces."""
+    out = []
+    for word in _WORD.findall(text):
+        if len(word) <= LONGEST:
+            out.append(word)
+        else:
+            out += [word[at:at + PIECE] for at in range(0, len(word) - PIECE + STEP, STEP)]
     return out
 
 
 class Gains:
-    """Window gains of documents, bytes with the ordinary dictionary less bytes with the toxic one, and telling words."""
+    """Window gains of documents: bytes with the ordinary dictionary less bytes with the toxic one."""
 
-    def __init__(self, toxic: bytes, ordinary: bytes, words: frozenset[bytes]):
-        self.words = words
-        self.to_toxic, self.to_ordinary = (self._compress(ordinary + end) for end in (toxic, b"\x01" * len(toxic)))
+    def __init__(self, toxic: bytes, ordinary: bytes):
+        self.to_toxic, self.to_ordinary = self._compress(toxic + _BEGIN), self._compress(ordinary + _BEGIN)
+        self.known: dict[bytes, int] = {}
 
     @staticmethod
     def _compress(content: bytes):
@@ -80,90 +84,78 @@ class Gains:
         words.precompute_compress(compression_params=settings)
         return zstandard.ZstdCompressor(dict_data=words, compression_params=settings).compress
 
+    def gain(self, window: bytes) -> int:
+        found = self.known.get(window)
+        if found is None:
+            framed = _BEGIN + b" " + window + b" " + _END
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            found = self.known[window] = len(self.to_ordinary(framed)) - len(self.to_toxic(framed))
+        return found
+
     def features(self, text: str | None) -> list[float]:
-        data = (text or "").encode("utf-8", "replace").lower()
-        pieces, words = windows(data), _WORD.findall(data)
-        telling = [w for w in words if w in self.words]
-        gains = np.array([len(self.to_ordinary(w)) - len(self.to_toxic(w)) for w in pieces] or [0])
-        best = np.sort(gains)[-2:]
-        return [best[-1], best.sum(), gains.mean(), *(math.log1p((gains >= least).sum()) for least in GAINS),
-                math.log1p(len(pieces)), math.log1p(len(telling)), math.log1p(len(set(telling))),
-                len(telling) / max(1, len(words))]
-
-
-def _grams(text: bytes) -> np.ndarray:
-    """A hash of each run of ``GRAM`` bytes."""
-    if len(text) < GRAM:
-        return np.zeros(0, np.uint32)
-    data = np.frombuffer(text, np.uint8).astype(np.uint64)
-    h = np.zeros(len(data) - GRAM + 1, np.uint64)
-    for i in range(GRAM):
-        h = h * np.uint64(1099511628211) + data[i:len(data) - GRAM + 1 + i]
-    return ((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _HASH_BITS)).astype(np.uint32)
-
-
-def _leans(toxic: np.ndarray | int, ordinary: np.ndarray | int, toxic_rows: int, ordinary_rows: int) -> np.ndarray | bool:
+        gains = np.array([self.gain(w) for w in windows(_plain(text))] or [0])
+        count = [int((gains >= least).sum()) for least in GAINS]
+        best = np.sort(gains)[-3:]
+        return [best[-1], best.sum(), *(math.log1p(n) for n in count), *(n / len(gains) for n in count), math.log1p(len(gains))]
+
+
+def _leans(toxic: int, ordinary: int, toxic_rows: int, ordinary_rows: int) -> bool:
     """Whether what so many rows of each side have leans to the toxic one."""
-    return ((toxic >= max(LEAST, math.ceil(SHARE * toxic_rows)))
-            & (toxic / toxic_rows > RATIO * (ordinary + 0.25) / max(1, ordinary_rows)))
+    return (toxic >= max(LEAST, math.ceil(SHARE * toxic_rows))
+            and toxic / toxic_rows > RATIO * (ordinary + 0.25) / max(1, ordinary_rows))
 
 
-def telling_words(toxic: list[bytes], ordinary: list[bytes]) -> frozenset[bytes]:
-    """Whole words that lean to toxic text."""
-    found = Counter(w for text in toxic for w in set(_WORD.findall(text)))
+def telling_words(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
+    """Windows that lean to toxic text, from the most frequent on, as many as the toxic dictionary takes."""
+    found = Counter(w for text in toxic for w in set(windows(text)))
     found = {w: n for w, n in found.items() if _leans(n, 0, len(toxic), len(ordinary))}
-    seen = Counter(w for text in ordinary for w in found.keys() & set(_WORD.findall(text)))
-    return frozenset(w for w, n in found.items() if _leans(n, seen[w], len(toxic), len(ordinary)))
-
-
-def _toxic_samples(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
-    """Stretches of toxic text that lean to it, each kind weighed by the root of its count, eight to a sample."""
-    seen = [np.zeros(1 << _HASH_BITS, np.int32) for _ in range(2)]
-    for counts, texts in zip(seen, (toxic, ordinary), strict=True):
-        for text in texts:
-            counts[np.unique(_grams(text))] += 1
-    lean = _leans(seen[0], seen[1], len(toxic), len(ordinary))
-    found: Counter[bytes] = Counter()
-    for text in toxic:
-        at = np.flatnonzero(lean[_grams(text)])
-        if len(at):
-            gaps = np.flatnonzero(np.diff(at) > 1)
-            for begin, end in zip(np.r_[at[0], at[gaps + 1]], np.r_[at[gaps], at[-1]] + GRAM, strict=True):
-                found[text[begin + 1:end - 1].strip()] += 1
-    bag = [s for s, n in sorted(found.items()) for _ in range(math.ceil(math.sqrt(n)))]
-    random.Random(3).shuffle(bag)
-    return [b" " + b" ".join(bag[i:i + 8]) + b" " for i in range(0, len(bag), 8)]
-
-
-def _dictionary(samples: list[bytes], size: int, **settings: int) -> bytes:
-    """The content of a trained dictionary, or the samples themselves if they are too few to train one."""
+    seen = Counter(w for text in ordinary for w in found.keys() & set(windows(text)))
+    leaning = sorted((-n, w) for w, n in found.items() if _leans(n, seen[w], len(toxic), len(ordinary)))
+    room = np.cumsum([len(w) + 1 for _, w in leaning])
+    return [w for (_, w), used in zip(leaning, room, strict=True) if used < TOXIC_BYTES]
+
+
+def _ordinary_content(texts: list[bytes]) -> bytes:
+    """The content of a dictionary trained on ordinary text, or the samples themselves if they are too few to train one."""
+    samples = [text[at:at + _SAMPLE] for text in texts for at in range(0, len(text), _SAMPLE)]
+    random.Random(1).shuffle(samples)
     try:
-        return zstandard.train_dictionary(size, samples, **settings).as_bytes()[-max(1, size - 140):]
+        return zstandard.train_dictionary(ORDINARY_BYTES, samples[:_SAMPLES]).as_bytes()[-(ORDINARY_BYTES - 140):]
     except zstandard.ZstdError:
-        return b"".join(samples)[:size]
+        return b"".join(samples)[:ORDINARY_BYTES]
+
+
+def dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, bytes]:
+    """The toxic and the ordinary dictionary.
+
+    Both begin with what is trained on ordinary text. Telling words follow whole in the toxic one, the most frequent last, where
+    references are shortest; zstandard's own trainer would cut them. In the ordinary one the same words follow without their
+    first and without their last byte, so that words that only share most of a telling word are as short with either.
+    """
+    common, words = _ordinary_content(ordinary), telling_words(toxic, ordinary)[::-1]
+    whole = b" " + b" ".join(words) + b" "
+    parts = b"".join(b" " + w[:-1] + b"\0" + w[1:] + b" " for w in words)
+    size = max(len(whole), len(parts))
+    return common + whole.rjust(size, b"\0"), common + parts.rjust(size, b"\0")
 
 
 def fit(texts: list[str | None], labels: list[int], toxic_share: float) -> Model:
     """Both dictionaries, then a logistic calibration, weighed so that toxic rows have ``toxic_share``."""
     sides: list[list[bytes]] = [[], []]
     for text, label in zip(texts, labels, strict=True):
-        sides[label].append((text or "").encode("utf-8", "replace").lower())
+        sides[label].append(_plain(text))
     if not sides[0] or not sides[1]:
         level = 6.0 if sides[1] else -6.0
-        n = _PLAIN + len(GAINS)
-        return Model(b"", b"", frozenset(), np.zeros(n), np.ones(n), np.r_[level, np.zeros(n)])
-    pieces = [w for text in sides[0] for w in windows(text)]
-    random.Random(1).shuffle(pieces)
-    ordinary = _dictionary(pieces[:60000], ORDINARY_BYTES)
-    samples = _toxic_samples(sides[1], sides[0])
-    toxic = _dictionary(samples, TOXIC_BYTES, k=16, d=6) if samples else b""
-    words = telling_words(sides[1], sides[0])
-    gains = Gains(toxic, ordinary, words)
+        n = 3 + 2 * len(GAINS)
+        return Model(b"", b"", np.zeros(n), np.ones(n), np.r_[level, np.zeros(n)])
+    toxic, ordinary = dictionaries(sides[1], sides[0])
+    gains = Gains(toxic, ordinary)
     x, y = np.array([gains.features(text) for text in texts], float), np.array(labels, float)
     mean, spread = x.mean(0), x.std(0) + 1e-9
     share = y.mean()
     weigh = np.where(y == 1, toxic_share / share, (1 - toxic_share) / (1 - share))
-    return Model(toxic, ordinary, words, mean, spread, _logistic(np.c_[np.ones(len(x)), (x - mean) / spread], y, weigh))
+    return Model(toxic, ordinary, mean, spread, _logistic(np.c_[np.ones(len(x)), (x - mean) / spread], y, weigh))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weigh: np.ndarray) -> np.ndarray:
@@ -203,13 +195,13 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """id, score in 0 to 1 and predicted for every row, and text_hash, the xxhash64 of its text, if ``hashes`` asks for
     that; whole texts, null read as empty, each row alone.
 
-    An empty text has one window without a gain. Repeated rows score alike; an empty table gives an empty
+    A text without words, as an empty one, has one window without a gain. Repeated rows score alike; an empty table gives an empty
     result; other columns are ignored.
     """
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        gains = Gains(model.toxic, model.ordinary, model.words)
+        gains = Gains(model.toxic, model.ordinary)
         for batch in batches:
             found = np.array([gains.features(text) for text in batch["text"]], float).reshape(len(batch), -1)
             scores = model.score(found) if len(batch) else np.zeros(0)
