@@ -319,6 +319,33 @@ def test_language(spark):
     assert language.identify(pages, docs.limit(0)).filter("lang is null").count() == 32
 
 
+def test_html_sample_and_unclosed_quotes(spark):
+    rows = [(i, f"<article>{i}</article>") for i in range(300)] + [(7, "<article>7</article>")] * 400 + [(None, None), (1, "<p>no")]
+    got = html_text.sample(spark.createDataFrame(rows, "page_id long, html string").repartition(7))
+    assert len(got) == len(set(got)) == html_text.TRAIN_PAGES and not html_text.sample(spark.createDataFrame([], "page_id long, html string"))
+    page = html_text.Page("<p>one <a href=\"x\"y\">two</a> three</p><p class='a>four</p>")
+    assert "".join("".join(parts) for _, parts in page.runs) == "one two threefour"
+
+
+def test_top_k_of_huge_components(spark):
+    # Scores beyond a long count as the nearest long; of equal ones the smaller ids come first.
+    rows = [(0, [1e30, 1.0]), (1, [1e30, 0.0]), (2, [5e29, 0.0]), (3, [-1e30, 1.0]), (4, [0.0, 2.0]), (5, [1e-3, None])]
+    asked = topk.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({"id": F.lit("clash"), "vector": F.lit(1)}))
+    got = {r.vec_id: (r["rank"], r.score) for r in topk.top_k(asked, asked.filter("id = 0")).collect()}
+    assert got == {1: (1, 2**63 - 1), 2: (2, 2**63 - 1), 4: (3, 1024 * 2048), 3: (4, -2**63)}
+    empty = spark.createDataFrame([(100, None), (None, [1.0])], "vec_id long, embedding array<double>")
+    assert topk.top_k(topk.quantised(empty), topk.quantised(empty)).count() == 0
+
+
+def test_languages_of_odd_names(spark):
+    docs = spark.createDataFrame([(i, words(i, 80, ("abcd", "efgh")[i % 2]), ("a\u00a0'b\\", "z")[i % 2]) for i in range(40)],
+                                 "doc_id long, text string, lang string")
+    pages = spark.createDataFrame([(i, None, f"<p>{words(i, 60, ('abcd', 'efgh')[i % 2])}") for i in range(6)] * 2,
+                                  "page_id long, url string, html string")
+    got = language.identify(pages, docs).collect()
+    assert len(got) == 12 and all(r.lang == ("a\u00a0'b\\", "z")[r.page_id % 2] for r in got)
+
+
 def test_passages(spark, docs):
     shared = words(77, 70)
     rows = [(i, words(200 + i, 40) + " " + shared + " " + words(300 + i, 30)) for i in range(6)]

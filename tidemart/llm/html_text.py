@@ -44,7 +44,7 @@ NEGATIVE = set("""nav navigation menu menubar navbar breadcrumb breadcrumbs head
   comments reply replies respond disqus discussion copyright legal pagination pager toolbar tags meta byline
   complementary contentinfo""".split())
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>?""", re.DOTALL)
+_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+(?:["'][^>]*)?)>?""", re.DOTALL)
 _NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _MARKED = re.compile(rf"\s{MARK}=([0-2])")
 _WORD = re.compile(r"[a-z]+")
@@ -331,9 +331,12 @@ def train(pages: list[str]) -> Boosted | None:
 
 def sample(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> list[str]:
     """The bounded sample the trees learn from."""
-    rows = pages.filter(F.lower(html_col).rlike("<(article|main)[ >]"))
-    return [r[0] for r in rows.select(html_col, F.xxhash64(id_col, F.length(html_col)).alias("h"))
-            .orderBy("h").limit(TRAIN_PAGES).select(html_col).collect()]
+    rows = (pages.filter(F.lower(html_col).rlike("<(article|main)[ >]"))
+            .select(F.xxhash64(id_col, F.length(html_col)).alias("h"), F.col(html_col).alias("html")))
+    # Hashes first: only the pages drawn reach the driver, one of each hash.
+    drawn = [r[0] for r in rows.select("h").distinct().orderBy("h").limit(TRAIN_PAGES).collect()]
+    found = rows.filter(F.col("h").isin(drawn)).groupBy("h").agg(F.max("html").alias("html")).collect()
+    return [r["html"] for r in sorted(found)]
 
 
 def extract(pages: DataFrame, model: Boosted | None, keep: list[str], html_col: str = "html") -> DataFrame:

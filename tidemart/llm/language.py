@@ -14,6 +14,8 @@ from tidemart.llm.common import load, small_batches, staged
 
 #: Documents of each language the text model is fitted on at most, those with the smallest hash of the id.
 TRAIN_ROWS = 400
+#: Parts of a language's documents this sample is drawn from.
+PARTS = 8
 #: Hashed three-character runs the text model tells apart, and what each language has of every one beforehand.
 RUNS, SMOOTH = 1 << 16, 0.1
 #: Runs overlap and repeat, so their evidence counts as that of fewer independent ones, of 60 at most.
@@ -38,9 +40,12 @@ def _runs(text: str) -> np.ndarray:
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"):
     """(languages, log probability of each run in each) from a bounded sample of each language's documents."""
-    pick = Window.partitionBy("lang").orderBy("h", "id")
+    # A language may have most documents: its smallest hashes are found within parts, then among what the parts keep.
+    within, pick = (Window.partitionBy("lang", *part).orderBy("h", "id") for part in (["part"], []))
     ids = (docs.filter(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
            .select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("h")).distinct()
+           .withColumn("part", F.pmod("h", F.lit(PARTS)))
+           .withColumn("n", F.row_number().over(within)).filter(F.col("n") <= TRAIN_ROWS)
            .withColumn("n", F.row_number().over(pick)).filter(F.col("n") <= TRAIN_ROWS).select("id", "lang"))
     rows = (docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
             .join(F.broadcast(ids), ["id", "lang"])  # at most TRAIN_ROWS for each language
@@ -124,8 +129,8 @@ def identify(pages: DataFrame, docs: DataFrame, id_col: str = "page_id", url_col
             f"(greatest(all_sums[i] - soft[i], 0D) + {DECLARED * kinds}D)")
     fused = joined.withColumn("logs", F.expr(f"transform(text, (t, i) -> t + ln(prior[i]) + ln({said}))"))
     fused = fused.withColumn("posterior", _softmax("logs"))
-    name = lambda values: F.expr(f"element_at(array({', '.join(repr(x) for x in languages)}), "
-                                 f"int(array_position({values}, array_max({values}))))")
+    names = F.array(*map(F.lit, languages))
+    name = lambda values: F.get(names, F.array_position(values, F.array_max(values)).cast("int") - 1)
     return fused.select(
         F.col("id").cast(kind).alias(id_col), F.col("url").alias(url_col), name("posterior").alias("lang"),
         F.array_max("posterior").alias("probability"), name("text").alias("text_lang"),
