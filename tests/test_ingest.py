@@ -65,6 +65,36 @@ def test_flattened_keys_are_nested(spark):
     assert row.singles == ["goods.gallery"]
 
 
+def test_only_mapped_flattened_keys_are_nested(spark):
+    paths = ["goods.goodsId", "goods.skc", "ext", "list.i.name", "map.value.v", "plain"]
+    docs = {
+        "mapped": {"goods.goodsId": 7, "goods.skc.0.a": 1, "goods.skc.1.a": 2, "other.key": 1},
+        "content": {"ext": {"p.search": "x", "q": {"r.s": 1.50}}, "goods.other": 2},
+        "entries": {"ext": {"0.a": 1, "1.a": 2}, "list": [{"name.x": 1, "no.no": 2}], "map": {"k": {"v.w": 3, "z.z": 4}}},
+    }
+    rows = [(n, json.dumps(d)) for n, d in docs.items()] + [("as it came", '{ "ext":{"p.search":1.50e2} }')]
+    got = {r.n: r.doc for r in parse_tolerant_json(spark.createDataFrame(rows, "n string, value string"), paths=paths).collect()}
+    assert json.loads(got["mapped"]) == {"goods": {"goodsId": 7, "skc": [{"a": 1}, {"a": 2}]}, "other.key": 1}
+    assert json.loads(got["content"]) == docs["content"] and got["as it came"] == rows[-1][1]
+    assert json.loads(got["entries"]) == {"ext": [{"a": 1}, {"a": 2}], "list": [{"name": {"x": 1}, "no.no": 2}],
+                                          "map": {"k": {"v": {"w": 3}, "z.z": 4}}}
+
+
+def test_feeds_keep_unmapped_keys(spark):
+    row = only(raw(spark, "product_goods", {"goods.goodsId": 5, "localInfo": {"a.b": 1}, "x.y": 2}))
+    assert row["goodsId"] == 5
+
+
+def test_numbers_and_texts_of_the_external_feed(spark):
+    def doc(sold, number="77"):
+        return {"code": 0, "data": {"site": {"id": 100.9}, "goods": {"goodsId": number, "optId": "3.5"}, "rankings": [], "stats": {},
+                                    "history": [{"createTime": "2026-05-30T01:02:03Z", "sold": sold, "quantity": "4.0"}]}}
+    for sold, want in ((12.5, 12), ("12.5", None), (5, 5), ("5", 5), (-2.5, -2), (True, None)):
+        row = only(FEEDS["external_goods"].to_clean(raw(spark, "external_goods", doc(sold))))
+        assert (row["sold"], row["quantity"], row["siteId"], row["goodsId"], row["optId"]) == (want, 4, 100, 77, None)
+    assert only(raw(spark, "external_goods", doc(1, 77.5)))["goodsId"] == 77
+
+
 # -- product page: goods ----------------------------------------------------------------------
 
 def test_ordered_sources_one_row(spark):

@@ -104,6 +104,20 @@ def to_exact_int(c: Column) -> Column:
     return to_exact_long(c).try_cast("int")
 
 
+def json_long(v: Column) -> Column:
+    """C9 on a typed JSON value: a number loses its fraction, text must be whole ('12.0', not '12.5')."""
+    number = F.schema_of_variant(v).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
+    # Beyond a long, a number is NULL as text is.
+    cut = F.try_variant_get(v, "$", "decimal(38,10)")
+    cut = F.when(cut < 0, F.ceil(cut)).otherwise(F.floor(cut)).try_cast("bigint")
+    return F.when(number, cut).otherwise(to_exact_long(F.try_variant_get(v, "$", "string")))
+
+
+def json_int(v: Column) -> Column:
+    """The same with the 32-bit range check."""
+    return json_long(v).try_cast("int")
+
+
 def normalise_datetime(c: Column) -> Column:
     """Keep the wall clock, drop the offset: 'yyyy-MM-dd HH:mm:ss' text or NULL."""
     raw = F.trim(c)
@@ -119,8 +133,16 @@ def blank_to_null(c: Column) -> Column:
     return F.when(F.trim(c) != "", c)
 
 
+_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+
+
 def is_valid_json(c: Column) -> Column:
-    return F.try_parse_json(c).isNotNull()
+    """The text is one JSON value. Objects with a repeated key, which Variant refuses, are read as text twice: as the only
+    entry of a list and as one of two fields, so that nothing can follow them."""
+    listed = F.from_json(F.concat(F.lit("["), c, F.lit("]")), "array<string>", _STRICT)
+    field = F.from_json(F.concat(F.lit('{"v":'), c, F.lit(',"end":1}')), "v string, end int", _STRICT)
+    return F.when(F.try_parse_json(c).isNotNull(), F.lit(True)).otherwise(
+        is_container(c) & F.coalesce((F.size(listed) == 1) & (field.end == 1), F.lit(False)))
 
 
 def quote_json(c: Column) -> Column:

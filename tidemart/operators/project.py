@@ -208,9 +208,9 @@ def keep_entries_with(list_text: Column, field: str) -> Column:
 
 def leaf_category(items: Column) -> Column:
     """``catId`` of the first entry flagged ``isLeaf``."""
-    parsed = F.transform(json_elements(items), lambda e: F.from_json(e, "isLeaf string, catId string"))
+    parsed = F.transform(json_elements(items), lambda e: F.from_json(e, "isLeaf string, catId variant"))
     leaf = F.filter(parsed, lambda e: F.coalesce(e.isLeaf.isin("true", "1"), F.lit(False)))
-    return clean.to_exact_long(F.get(leaf, F.lit(0)).getField("catId"))
+    return clean.json_long(F.get(leaf, F.lit(0)).getField("catId"))
 
 
 def cast_layer(df: DataFrame, types: dict[str, str], derived: dict[str, Column] | None = None) -> DataFrame:

@@ -74,6 +74,13 @@ _A = f"WITH x AS ({AMOUNTS.format(lineitem='lineitem')}) "
 on("c8_to_scaled_decimal", lambda t: t.sql(AMOUNTS).select(
     "l_orderkey", "l_linenumber", clean.to_scaled_decimal(F.col("t"), 4).alias("v")),
    f"{_A} SELECT l_orderkey, l_linenumber, CAST(TRY_CAST(t AS DECIMAL(38,10)) AS DECIMAL(20,4)) AS v FROM x")
+# A JSON number loses its fraction, the same digits as text have none to lose.
+on("c9_json_long", lambda t: t["events"].select("event_id", F.from_json(F.expr("""concat('{"a":', user_id, '.5,"b":"', user_id,
+  '.5","c":', user_id, ',"d":"', user_id, '.0","e":-', user_id, '.75,"f":1e30,"g":true,"h":null}')"""),
+    "a variant, b variant, c variant, d variant, e variant, f variant, g variant, h variant").alias("v")).select(
+    "event_id", *[clean.json_long(F.col(f"v.{n}")).alias(n) for n in "abcdefgh"], clean.json_int(F.col("v.c")).alias("i")), """
+SELECT event_id, user_id AS a, CAST(NULL AS BIGINT) AS b, user_id AS c, user_id AS d, -user_id AS e, CAST(NULL AS BIGINT) AS f,
+  CAST(NULL AS BIGINT) AS g, CAST(NULL AS BIGINT) AS h, CAST(user_id AS INT) AS i FROM events""")
 on("c9_to_exact_long", lambda t: t.sql(AMOUNTS).select(
     "l_orderkey", "l_linenumber", clean.to_exact_long(F.col("t")).alias("v"),
     clean.to_exact_int(F.concat(F.col("t"))).alias("i"),
@@ -179,6 +186,20 @@ on("p6_flattened_lookup", _flat(
     {"id": "BIGINT", "first": "STRING", "second": "STRING", "q": "STRING"}),
    "SELECT event_id, event_id AS id, 'x' || user_id AS first, CASE WHEN event_id % 2 = 0 THEN 'y' || user_id END AS second, "
    "event_type AS q FROM events")
+# Of a mapped section, keys that only look flattened stay as they are; so does what no path reaches.
+_UNMAPPED = """concat('{"g.id": ', event_id, ', "ext": {"p.search":"', event_type, '", "n": 1.50}, "o.x": {"y.z": 1}}')"""
+
+
+def _p6_unmapped(t):
+    paths = {"id": "g.id", "ext": "ext", "other": "o.y"}
+    docs = documents.parse_tolerant_json(_docs(t, _UNMAPPED).withColumnRenamed("doc", "value"), paths=paths.values())
+    return project.project_by_mapping(docs, paths, {"id": "BIGINT", "ext": "JSON", "other": "STRING"}, keep=("event_id",),
+                                      mode="eligible").select("event_id", "id", F.get_json_object("ext", "$['p.search']").alias("kept"),
+                                                              F.size(F.json_object_keys("ext")).alias("keys"), "other")
+
+
+on("p6_unmapped_keys", _p6_unmapped, """
+SELECT event_id, event_id AS id, event_type AS kept, CAST(2 AS INT) AS keys, CAST(NULL AS VARCHAR) AS other FROM events""")
 on("p7_unflatten", _flat({"l": "g.l"}, {"l": "JSON"}),
    """SELECT event_id, CASE WHEN event_id % 2 = 0 THEN '[{"u":"x' || user_id || '"},{"u":"y' || user_id || '"}]'
    ELSE '{"u":"x' || user_id || '"}' END AS l FROM events""")

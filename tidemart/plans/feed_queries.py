@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemart.functions import clean
 from tidemart.operators import quality
 from tidemart.plans.registry import on
 from tidemart.plans.standins import BIZ_DATE, with_tables
@@ -286,6 +287,12 @@ on("k8_enforce_schema", _k8, """
 SELECT CASE WHEN event_id % 6 < 2 THEN 'siteId' ELSE 'loaded' END AS state,
   CASE WHEN event_id % 6 >= 2 THEN CAST(user_id AS INT) END AS siteId,
   CASE WHEN event_id % 6 >= 2 THEN props END AS supportedLangList FROM events""")
+# An object with a repeated key is JSON, and stored as it came; text that is none becomes a JSON string.
+on("k8_repeated_keys", lambda t: t["events"].select("event_id", clean.to_json_text(F.expr("""CASE event_id % 4
+  WHEN 0 THEN concat('{"a":', user_id, ',"a":[2]}') WHEN 1 THEN concat('[{"b":{"c":1,"c":', user_id, '}}]')
+  WHEN 2 THEN '{"a":1,"a":2' ELSE '{"a":1,"a":1},"b":{}' END""")).alias("stored")), """
+SELECT event_id, CASE event_id % 4 WHEN 0 THEN '{"a":' || user_id || ',"a":[2]}' WHEN 1 THEN '[{"b":{"c":1,"c":' || user_id || '}}]'
+  WHEN 2 THEN '"{\\"a\\":1,\\"a\\":2"' ELSE '"{\\"a\\":1,\\"a\\":1},\\"b\\":{}"' END AS stored FROM events""")
 on("k9_write_audit", lambda t: quality.write_audit(
     t["events"].select(F.col("user_id").alias("goodsId"), F.expr("nullif(event_id % 4, 0)").alias("siteId"),
                        F.to_date("ts").alias("date")), "clean", "dwd_goods_base", TABLES["dwd_goods_base"].keys, 7),

@@ -32,6 +32,7 @@ from tidemart.operators.project import (
     keep_entries_with,
     leaf_category,
     nested_leaves,
+    normalise_mapping,
     project_by_mapping,
     with_aliases,
 )
@@ -43,7 +44,8 @@ _RUN = ("run_date", "run_ts")
 
 @dataclass(frozen=True)
 class Feed:
-    """``extract`` yields records, ``to_raw`` and ``to_clean`` the rows of the two tables."""
+    """``extract`` yields records, ``to_raw`` and ``to_clean`` the rows of the two tables. Flattened keys are looked up along
+    ``paths``, or everywhere if there are none."""
 
     name: str
     topic: str
@@ -53,6 +55,7 @@ class Feed:
     extract: Callable[[DataFrame], DataFrame]
     to_clean: Callable[[DataFrame], DataFrame]
     to_raw: Callable[[DataFrame], DataFrame] = lambda records: records
+    paths: frozenset[str] | None = None
 
 
 def _texts(table: str, *extra: str) -> dict[str, str]:
@@ -256,8 +259,8 @@ def external_goods(docs: DataFrame) -> DataFrame:
     parsed = paths.parse(docs, "doc")
     rows = parsed.select(*_RUN, *[paths.text(f"data.{part}").alias(part) for part in _EXTERNAL_PARTS])
     rows = rows.withColumns({
-        "goodsId": once(clean.to_exact_long(json_get(F.col("goods"), ["goodsId"]))),
-        "siteId": once(clean.to_exact_int(json_get(F.col("site"), ["id"]))),
+        "goodsId": once(clean.json_long(F.from_json("goods", "goodsId variant").goodsId)),
+        "siteId": once(clean.json_int(F.from_json("site", "id variant").id)),
     })
     return _dated(rows.where("goodsId is not null and siteId is not null"))
 
@@ -272,8 +275,11 @@ def clean_external_goods(records: DataFrame) -> DataFrame:
     metrics = [f"{p}{name}" for name, _ in PERIOD_METRICS for p in PERIODS]
     history_fields = ["sold", "sales", "minPrice", "maxPrice", "quantity", "goodsScore", "reviewNum", *metrics]
 
+    # Whole numbers stay typed, so that a number and the same digits as text are told apart.
+    whole = {n for n, kind in types.items() if kind in ("BIGINT", "INT")}
+
     def strings(names):
-        return ", ".join(f"`{n}` string" for n in names)
+        return ", ".join(f"`{n}` {'variant' if n in whole else 'string'}" for n in names)
 
     goods_schema = strings([
         "id", "regionId", "mallId", "goodsName", "goodsNameCn", "goodsNameEn", "thumbnail", "thumbnailCn",
@@ -290,9 +296,9 @@ def clean_external_goods(records: DataFrame) -> DataFrame:
 
     def number(source: Column, kind: str) -> Column:
         if kind == "BIGINT":
-            return clean.to_exact_long(source)
+            return clean.json_long(source)
         if kind == "INT":
-            return clean.to_exact_int(source)
+            return clean.json_int(source)
         precision, scale = map(int, kind[8:-1].split(","))
         return clean.to_scaled_decimal(source, scale, precision)
 
@@ -300,10 +306,10 @@ def clean_external_goods(records: DataFrame) -> DataFrame:
         return clean.normalise_datetime(source).try_cast("timestamp_ntz")
 
     values = {
-        "goodsId": F.coalesce(clean.to_exact_long(entry("goodsId")), F.col("goodsId")),
+        "goodsId": F.coalesce(clean.json_long(entry("goodsId")), F.col("goodsId")),
         "siteId": F.col("siteId"),
         "date": F.substring(clean.normalise_datetime(entry("createTime")), 1, 10).try_cast("date"),
-        "regionId": F.coalesce(*[clean.to_exact_long(s("regionId")) for s in (entry, goods, site)]),
+        "regionId": F.coalesce(*[clean.json_long(s("regionId")) for s in (entry, goods, site)]),
         "sourceRecordId": _text(goods("id")),
         "historyId": _text(entry("id")),
         "catIds": goods("catIds"),
@@ -326,6 +332,26 @@ def clean_external_goods(records: DataFrame) -> DataFrame:
     return keep_required(out, ["goodsId", "siteId", "date"])
 
 
+def _paths(page: dict, items: str | None = None, item: dict | None = None) -> frozenset[str]:
+    """All document paths of a mapping, and of one for the entries of a list."""
+    below = [f"{items}.i.{path}" for sources in normalise_mapping(item or {}).values() for path in sources]
+    return frozenset([p for sources in normalise_mapping(page).values() for p in sources] + below)
+
+
+#: Mapped paths by feed; the other feeds read whole sections of their documents or have them in an envelope.
+_PATHS = {
+    "product_goods": _paths(m.PRODUCT_GOODS),
+    "product_malls": _paths(m.PRODUCT_MALLS),
+    "product_categories": _paths(m.CRUMB_PAGE_FIELDS, "crumbOptList", m.CRUMB_FIELDS),
+    "product_site": _paths(m.PRODUCT_SITE),
+    "search_categories": _paths(m.SEARCH_CATEGORY_PAGE, m.SEARCH_LIST, m.SEARCH_CATEGORY_ITEM),
+    "search_goods": _paths(m.SEARCH_GOODS_PAGE, m.SEARCH_LIST, m.SEARCH_GOODS_ITEM),
+    "search_site": _paths(m.SEARCH_SITE),
+    "more_categories": _paths(m.MORE_CATEGORY_PAGE, m.MORE_LIST, m.MORE_CATEGORY_ITEM),
+    "more_goods": _paths(m.MORE_GOODS_PAGE, m.MORE_LIST, m.MORE_GOODS_ITEM),
+}
+
+
 def _feed(name, topic, group, entity, extract, to_clean, to_raw=lambda records: records) -> Feed:
     raw, base = {
         "goods": ("ods_goods_raw", "dwd_goods_base"),
@@ -335,7 +361,7 @@ def _feed(name, topic, group, entity, extract, to_clean, to_raw=lambda records:
         "site": ("ods_site_raw", "dwd_site_base"),
         "external": ("ods_external_goods_raw", "dwd_external_goods_daily"),
     }[entity]
-    return Feed(name, topic, group, raw, base, extract, to_clean, to_raw)
+    return Feed(name, topic, group, raw, base, extract, to_clean, to_raw, _PATHS.get(name))
 
 
 FEEDS: dict[str, Feed] = {

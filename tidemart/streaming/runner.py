@@ -36,7 +36,7 @@ def write_batch(warehouse: Warehouse, feed: Feed, messages: DataFrame, batch_id:
         return held[-1]
 
     try:
-        parsed = hold(parse_tolerant_json(messages))
+        parsed = hold(parse_tolerant_json(messages, paths=feed.paths))
         bad = parsed.where(F.col("doc").isNull() & (F.trim("value") != "")).select("value")
         day = F.to_date("run_ts") if run_date is None else F.lit(run_date).cast("date")
         docs = parsed.where("doc is not null").withColumns(
@@ -116,7 +116,7 @@ def launch_feed(spark: SparkSession, feed: str, args: Sequence[str], warehouse:
 def run_once(messages: DataFrame, feed: str, run_date, run_ts) -> dict[str, DataFrame]:
     """The rows one batch of messages yields, without writing: raw, clean and rejected ones."""
     spec = FEEDS[feed]
-    docs = stamp(parse_tolerant_json(messages), run_date, run_ts).where("doc is not null")
+    docs = stamp(parse_tolerant_json(messages, paths=spec.paths), run_date, run_ts).where("doc is not null")
     records = spec.extract(docs)
     raw, raw_rejects = enforce_schema(spec.to_raw(records), TABLES[spec.raw_table])
     clean, clean_rejects = enforce_schema(spec.to_clean(records), TABLES[spec.clean_table])
