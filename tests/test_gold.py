@@ -35,6 +35,23 @@ def test_counts_above_int_do_not_stop_the_build(spark):
         assert got == {1: (None, None), 2: (5, 12)}
 
 
+def test_figures_that_do_not_fit_are_rejected(spark, tmp_path):
+    lake, day = Warehouse(spark, str(tmp_path / "wh")), "2024-01-02"
+    malls = [row(spark, "dwd_malls_base", mallId=1, siteId=1, date=day, goodsSalesNum=3_000_000_000),
+             row(spark, "dwd_malls_base", mallId=2, siteId=1, date=day, goodsSalesNum=5)]
+    goods = [row(spark, "dwd_goods_base", goodsId=1, siteId=1, date=day, mallId="1", salesNum=1 << 62, minOnSalePrice=1 << 62),
+             row(spark, "dwd_goods_base", goodsId=2, siteId=1, date=day, mallId="2", salesNum=3, minOnSalePrice=4)]
+    lake.upsert_latest(malls[0].unionAll(malls[1]), "dwd_malls_base", day, 1)
+    lake.upsert_latest(goods[0].unionAll(goods[1]), "dwd_goods_base", day, 1)
+    build_day(lake, day)
+    assert [(r.mallId, r.goodsSalesNum, r.goodsSalesPrice) for r in lake.scan("dws_malls_daily").collect()] == [(2, 5, 12)]
+    rejects = spark.read.json(f"{lake.root}/_rejects/rows").collect()
+    mine = [r for r in rejects if r.reason.startswith("dws_malls_daily")]
+    assert len(mine) == 1 and '"mallId":1' in mine[0].row and f"goodsSalesNum: 3000000000 is no int" in mine[0].reasons
+    assert any(reason.startswith(f"goodsSalesPrice: {1 << 124}") for reason in mine[0].reasons)
+    assert lake.scan("dws_goods_daily").count() == 2
+
+
 def test_days_in_a_row_keep_stored_dates(spark, tmp_path):
     lake = Warehouse(spark, str(tmp_path / "wh"))
     key = {"goodsId": 1, "siteId": 1}

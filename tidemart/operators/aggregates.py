@@ -55,9 +55,9 @@ def revenue(sold: Column, *prices: Column) -> Column:
     return F.coalesce(sold, F.lit(0)) * F.coalesce(*prices, F.lit(0))
 
 
-def to_units(minor: Column) -> Column:
+def to_units(minor: Column, kind: str = "decimal(20,2)") -> Column:
     """A10: minor units as an amount with two decimals; NULL where it has more digits than that type."""
-    return F.round(minor.try_cast("decimal(25,0)") / F.lit(100).cast("decimal(3,0)"), 2).try_cast("decimal(20,2)")
+    return F.round(minor.try_cast("decimal(30,0)") / F.lit(100).cast("decimal(3,0)"), 2).try_cast(kind)
 
 
 def daily_metrics(df: DataFrame, keys, id_col: str, sums: dict[str, Column] | None = None,

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
-from functools import reduce
+from functools import reduce, wraps
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemart.functions import derive as d
 from tidemart.functions.jsonpath import once
@@ -38,9 +39,37 @@ _MALL = ["mallId", "siteId"]
 
 
 def _shaped(df: DataFrame, table: str) -> DataFrame:
-    """The table's columns; a value that its type can't hold is NULL and doesn't stop the build."""
+    """The table's columns, and ``_lost``: figures that a column's type can't hold. They are NULL and don't stop the build."""
     schema = TABLES[table].schema
-    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
+    lost = [
+        F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(),
+               F.concat(F.lit(f"{f.name}: "), F.col(f.name).cast("string"), F.lit(f" is no {f.dataType.simpleString()}")))
+        for f in schema if isinstance(df.schema[f.name].dataType, T.NumericType) and df.schema[f.name].dataType != f.dataType]
+    found = F.filter(F.array(*lost), lambda x: x.isNotNull()) if lost else F.array().cast("array<string>")
+    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema], found.alias("_lost"))
+
+
+def _daily(build):
+    """A builder whose rows have just the table's columns unless ``_lost`` is asked for."""
+    @wraps(build)
+    def run(tables: Tables, biz_date=None, lost: bool = False) -> DataFrame:
+        rows = build(tables, biz_date)
+        return rows if lost else rows.drop("_lost")
+
+    return run
+
+
+def _load(lake: Warehouse, rows: DataFrame, table: str, batch: str, seq: int, writer: str) -> None:
+    """Write the rows all of whose figures fit; the others go to the rejects with the figures that don't."""
+    bad = F.size("_lost") > 0
+    names = [name for name in rows.columns if name != "_lost"]
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)  # built once for both
+    try:
+        lake.upsert_latest(rows.where(~bad).drop("_lost"), table, batch, seq, writer=writer)
+        rejects = rows.where(bad).select(F.col("_lost").alias("reasons"), F.to_json(F.struct(*names)).alias("row"))
+        lake.keep_rejects(rejects, f"{table}-{writer}", batch)
+    finally:
+        rows.unpersist()
 
 
 def _kept(tables: Tables, name: str) -> DataFrame:
@@ -80,6 +109,7 @@ def _goods_figures(goods: DataFrame, image_order: tuple[str, str]) -> DataFrame:
     })
 
 
+@_daily
 def build_goods_daily(tables: Tables, biz_date=None) -> DataFrame:
     """G1/G2."""
     return _goods_increment(tables, biz_date) if biz_date is not None else _goods_rows(tables, goods_history(tables))
@@ -174,6 +204,7 @@ def _external_rows(tables: Tables, valid: DataFrame, days=None) -> DataFrame:
     }), "dws_goods_daily")
 
 
+@_daily
 def build_external_goods_daily(tables: Tables, biz_date=None) -> DataFrame:
     """The same product table from the external feed; whichever is written last wins."""
     if biz_date is None:
@@ -192,6 +223,7 @@ def build_external_goods_daily(tables: Tables, biz_date=None) -> DataFrame:
 
 # -- stores ------------------------------------------------------------------------------------
 
+@_daily
 def build_malls_daily(tables: Tables, biz_date=None) -> DataFrame:
     """G5/G6. A rebuild dates every store row on its own day, as its first-seen date.
 
@@ -245,7 +277,7 @@ def _path_rows(goods: DataFrame) -> DataFrame:
 
 def _category_figures(rows: DataFrame) -> DataFrame:
     rows = rows.withColumns({c: F.coalesce(c, F.lit(0)) for c in (*_COUNTS, "earned", "previousSold")})
-    rows = rows.withColumn("totalSalesAmount", to_units(F.col("earned")))
+    rows = rows.withColumn("totalSalesAmount", to_units(F.col("earned"), "decimal(33,2)"))
     return _shaped(rows.withColumns({
         "optNameEnglish": F.col("optName"),
         "optNameChinese": F.col("optName"),
@@ -256,6 +288,7 @@ def _category_figures(rows: DataFrame) -> DataFrame:
     }), "dws_category_daily")
 
 
+@_daily
 def build_category_daily(tables: Tables, biz_date=None) -> DataFrame:
     """G7/G8. The increment looks at its day only, the rebuild accumulates up to each day."""
     return _category_increment(tables, biz_date) if biz_date is not None else _category_rebuild(tables)
@@ -389,6 +422,7 @@ def _category_history(paths: DataFrame, spine: DataFrame, left, edge: dict[str,
 
 # -- reviews -----------------------------------------------------------------------------------
 
+@_daily
 def build_review_daily(tables: Tables, biz_date=None) -> DataFrame:
     """G9/G10."""
     reviews = tables["dwd_review_base"]
@@ -415,12 +449,13 @@ def build_day(lake: Warehouse, biz_date: str) -> None:
 
     First days come from states that the lake keeps, so the history isn't read.
 
-    A rerun replaces the day's rows, also after a merge. Later days and later builds win.
+    A rerun replaces the day's rows, also after a merge. Later days and later builds win. A row with a figure
+    that its column can't hold goes to the rejects.
     """
     for step, (table, build) in enumerate(BUILDERS):
-        rows = build(lake.tables(), biz_date)
+        rows = build(lake.tables(), biz_date, lost=True)
         seq = dt.date.fromisoformat(biz_date).toordinal() * 100 + step
-        lake.upsert_latest(rows, table, biz_date, seq, writer=build.__name__)
+        _load(lake, rows, table, biz_date, seq, writer=build.__name__)
 
 
 #: Parts of a category edge that grow by what each range adds; the others are as of the edge. The last one is written last.
@@ -468,7 +503,7 @@ def rebuild_days(lake: Warehouse, history: str, first: str, last: str, seq: int)
     else:
         carry = right_edge(valid(tables, _before(first))) if _any_before(tables, (source,), first) else None
     found = valid(tables, days, carry)
-    lake.upsert_latest(rows(tables, found, days), "dws_goods_daily", f"{first}_{last}", seq, writer=f"rebuild-{history}")
+    _load(lake, rows(tables, found, days), "dws_goods_daily", f"{first}_{last}", seq, writer=f"rebuild-{history}")
     lake.write_edge(right_edge(found), history, last)  # last: with it the range is complete
 
 
@@ -492,7 +527,7 @@ def _rebuild_categories(lake: Warehouse, first: str, last: str, seq: int) -> Non
 
     try:
         rows, found = category_days(tables, (first, last), carry, hold)
-        lake.upsert_latest(rows, "dws_category_daily", f"{first}_{last}", seq, writer="rebuild-category")
+        _load(lake, rows, "dws_category_daily", f"{first}_{last}", seq, writer="rebuild-category")
         for part in _EDGE:
             if edge is None and carry and part in _SEEN:  # the ids before the first range, too
                 found[part] = found[part].unionByName(carry[part])
