@@ -256,6 +256,11 @@ def test_toxicity_windows():
     long = words(1, 200_000)
     assert gains.features(long + " moron")[0] > gains.features(long)[0]
     assert gains.features(None) == gains.features("") == gains.features(" \n !")
+    texts = ["you moron " * (i % 2) + f"text {i}" for i in range(400)]
+    model = toxicity.fit(texts, [i % 2 for i in range(400)], 0.5)
+    gains = toxicity.Gains(model.toxic, model.ordinary)
+    scores = model.score(np.array([gains.features(t) for t in (long, "", "you moron")], float))
+    assert scores[0] == scores[1] < 0.5 <= scores[2]  # length alone says nothing
 
 
 def test_html():

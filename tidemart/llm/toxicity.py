@@ -97,7 +97,8 @@ class Gains:
         gains = np.array([self.gain(w) for w in windows(_plain(text))] or [0])
         count = [int((gains >= least).sum()) for least in GAINS]
         best = np.sort(gains)[-3:]
-        return [best[-1], best.sum(), *(math.log1p(n) for n in count), *(n / len(gains) for n in count), math.log1p(len(gains))]
+        # No length on its own: a text without a gain scores the same however long it is.
+        return [best[-1], best.sum(), *(math.log1p(n) for n in count), *(n / len(gains) for n in count)]
 
 
 def _leans(toxic: int, ordinary: int, toxic_rows: int, ordinary_rows: int) -> bool:
@@ -147,7 +148,7 @@ def fit(texts: list[str | None], labels: list[int], toxic_share: float) -> Model
         sides[label].append(_plain(text))
     if not sides[0] or not sides[1]:
         level = 6.0 if sides[1] else -6.0
-        n = 3 + 2 * len(GAINS)
+        n = 2 + 2 * len(GAINS)
         return Model(b"", b"", np.zeros(n), np.ones(n), np.r_[level, np.zeros(n)])
     toxic, ordinary = dictionaries(sides[1], sides[0])
     gains = Gains(toxic, ordinary)
