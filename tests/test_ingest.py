@@ -7,8 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemart.operators.documents import parse_tolerant_json, split_quarantine
-from tidemart.operators.project import stamp
-from tidemart.operators.quality import enforce_schema, row_to_json
+from tidemart.functions import clean
+from tidemart.functions.jsonpath import json_get
+from tidemart.operators.project import project_by_mapping, stamp
+from tidemart.operators.quality import check_schema, enforce_schema, row_to_json
 from tidemart.plans.ingest import FEEDS
 from tidemart.schemas import TABLES
 
@@ -394,3 +396,27 @@ def test_row_to_json_keeps_nulls(spark):
     df = spark.createDataFrame([(1, None, '{"k":1}', "x\"y")], "a int, b string, j string, t string")
     got = row_to_json(df, json_columns=("j",)).collect()[0].json
     assert got == '{"a":1,"b":null,"j":{"k":1},"t":"x\\"y"}'
+
+
+# -- work per row -------------------------------------------------------------------------------
+
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+
+def test_ordered_sources_convert_as_one_flat_list(spark):
+    docs = spark.createDataFrame([('{"a":" ","b":"7","c":"x","d":["y"],"e":"12K"}',), ("{}",)], "doc string")
+    mapping = {"n": ["a", "c", "b"], "m": "e", "s": ["a", "c"], "j": ["a", "d"], "k": ["d"]}
+    types = {"n": "BIGINT", "m": "BIGINT", "s": "STRING", "j": "JSON", "k": "JSON"}
+    found = project_by_mapping(docs, mapping, types, mode="eligible")
+    assert rows(found)[0] == {"n": 7, "m": 12000, "s": "x", "j": '["y"]', "k": '["y"]'}
+    assert set(rows(found)[1].values()) == {None}
+    assert "transform(array(array(" not in plan(found) and "filter(" not in plan(found)
+
+
+def test_lists_have_no_keys_to_look_up(spark):
+    texts = spark.createDataFrame([('[{"a":1}]',), ('[{"b":1}]',), ('{"0":{"a":2}}',), ('\n[{"a":3}]',), (" [1]",), (None,)], "t string")
+    found = texts.select(json_get(F.col("t"), ["0", "a"]).alias("v"))
+    assert [r["v"] for r in found.collect()] == ["1", None, "2", "3", None, None]
+    assert "StartsWith(" in plan(found)

@@ -49,7 +49,10 @@ def json_get(text: Column, steps: list[str]) -> Column:
         return F.get_json_object(text, "$" + "".join(map(_quoted, steps)))
     by_index = "$" + "".join(f"[{s}]" if s.isdigit() else _quoted(s) for s in steps)
     by_key = "$" + "".join(map(_quoted, steps))
-    return F.coalesce(F.get_json_object(text, by_index), F.get_json_object(text, by_key))
+    found = F.get_json_object(text, by_index)
+    either = F.coalesce(found, F.get_json_object(text, by_key))
+    # A list has no keys, so it isn't parsed again for one.
+    return F.when(F.ltrim(text).startswith("["), found).otherwise(either) if steps[0].isdigit() else either
 
 
 def json_elements(text: Column) -> Column:

@@ -123,21 +123,31 @@ def _convert_by_type(parsed: DataFrame, wanted: dict[str, list[str]], types: dic
         if wanted[target] and target not in (*keep, TITLE_COLUMN, TEXT_LIST_COLUMN):
             by_kind.setdefault(types[target], []).append(target)
 
-    def values(target: str) -> Column:
-        texts = [F.col(f"_texts.{target}_{n}") for n in range(len(wanted[target]))]
-        if types[target] == "JSON":
-            texts = [unless_single(v, path, singles) for v, path in zip(texts, wanted[target])]
-        return F.array(*texts)
-
-    def first_eligible(kind: str):
-        return lambda vs: F.get(F.filter(F.transform(
-            F.filter(vs, has_content), lambda v: clean.CONVERTERS[kind](v)), F.isnotnull), F.lit(0))
-
-    made, places = {}, {}
+    # Texts of a type side by side, as one array that compiled code fills: a function over an array evaluates what
+    # it is given expression by expression.
+    places, texts = {}, {}
     for kind, targets in by_kind.items():
-        made[f"_as_{kind}"] = once(F.transform(F.array(*map(values, targets)), first_eligible(kind)))
-        places.update({t: F.get(F.col(f"_as_{kind}"), F.lit(n)) for n, t in enumerate(targets)})
-    return parsed.withColumns(made) if made else parsed, places
+        texts[kind] = []
+        for target in targets:
+            values = [F.col(f"_texts.{target}_{n}") for n in range(len(wanted[target]))]
+            if kind == "JSON":
+                values = [unless_single(v, path, singles) for v, path in zip(values, wanted[target])]
+            places[target] = kind, range(len(texts[kind]), len(texts[kind]) + len(values))
+            texts[kind] += values
+    if texts:
+        parsed = parsed.withColumns({f"_of_{kind}": once(F.array(*values)) for kind, values in texts.items()})
+
+    def eligible(kind: str) -> Column:
+        # Plain text needs no conversion beyond the test for content, which compiled code does.
+        held = F.col(f"_of_{kind}")
+        return held if kind == "STRING" else F.transform(held, lambda v: F.when(has_content(v), clean.CONVERTERS[kind](v)))
+
+    def first(kind: str, numbers) -> Column:
+        found = [F.get(F.col(f"_as_{kind}"), F.lit(n)) for n in numbers]
+        return F.coalesce(*[content(v) if kind == "STRING" else v for v in found])
+
+    made = {f"_as_{kind}": once(eligible(kind)) for kind in texts}
+    return (parsed.withColumns(made) if made else parsed), {t: first(*place) for t, place in places.items()}
 
 
 SPARK_TYPES = {"JSON": "string", "DATETIME": "timestamp_ntz"}
