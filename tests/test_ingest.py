@@ -420,3 +420,11 @@ def test_lists_have_no_keys_to_look_up(spark):
     found = texts.select(json_get(F.col("t"), ["0", "a"]).alias("v"))
     assert [r["v"] for r in found.collect()] == ["1", None, "2", "3", None, None]
     assert "StartsWith(" in plan(found)
+
+
+def test_whole_numbers_are_read_as_such(spark):
+    texts = [str(2**63 - 1), str(2**63), str(-2**63), "12.9", "-12.9", '"12"', '"12.5"', '" 12.0 "', "true", "null", "[1]", "1e3"]
+    docs = spark.createDataFrame([(f'{{"v":{t}}}',) for t in texts], "doc string")
+    found = docs.select(clean.json_long(F.from_json("doc", "v variant").v).alias("v"))
+    assert [r["v"] for r in found.collect()] == [2**63 - 1, None, -2**63, 12, -12, 12, None, 12, None, None, None, 1000]
+    assert "= BIGINT)" in plan(found)

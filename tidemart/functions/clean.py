@@ -106,11 +106,13 @@ def to_exact_int(c: Column) -> Column:
 
 def json_long(v: Column) -> Column:
     """C9 on a typed JSON value: a number loses its fraction, text must be whole ('12.0', not '12.5')."""
-    number = F.schema_of_variant(v).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
+    kind = F.schema_of_variant(v)
+    number = kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
     # Beyond a long, a number is NULL as text is.
     cut = F.try_variant_get(v, "$", "decimal(38,10)")
     cut = F.when(cut < 0, F.ceil(cut)).otherwise(F.floor(cut)).try_cast("bigint")
-    return F.when(number, cut).otherwise(to_exact_long(F.try_variant_get(v, "$", "string")))
+    text = to_exact_long(F.try_variant_get(v, "$", "string"))
+    return F.when(kind == "BIGINT", F.try_variant_get(v, "$", "bigint")).when(number, cut).otherwise(text)
 
 
 def json_int(v: Column) -> Column:
