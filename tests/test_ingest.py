@@ -404,6 +404,12 @@ def plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_only_rejected_rows_carry_what_they_came_as(spark):
+    given = spark.createDataFrame([("1", 5), ("x", 5)], "siteId string, regionId long").withColumn("date", F.lit(RUN_DATE).cast("date"))
+    found = {r["siteId"]: r for r in check_schema(given, TABLES["dwd_site_base"]).collect()}
+    assert found[1]["_row"] is None and found[1]["reasons"] == []
+    assert found[None]["_row"]["siteId"] == "x" and found[None]["reasons"] == ["siteId"]
+
 
 def test_ordered_sources_convert_as_one_flat_list(spark):
     docs = spark.createDataFrame([('{"a":" ","b":"7","c":"x","d":["y"],"e":"12K"}',), ("{}",)], "doc string")

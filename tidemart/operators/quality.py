@@ -40,8 +40,10 @@ def check_schema(df: DataFrame, table: Table) -> DataFrame:
         reasons.append(F.when(bad, F.lit(name)))
         if name in bounds and name in df.columns:
             reasons.append(F.when(F.octet_length(value) > bounds[name], F.lit(f"{name}: over {bounds[name]} bytes")))
-    failed = once(F.filter(F.array(*reasons), lambda r: r.isNotNull()))
-    return df.select(*values, failed.alias("reasons"), F.struct(*[F.col(c) for c in df.columns]).alias("_row"))
+    given = F.struct(*[F.col(c) for c in df.columns])
+    checked = df.select(*values, once(F.array_compact(F.array(*reasons))).alias("reasons"), given.alias("_row"))
+    # Only rejected rows carry what they came as: a batch that is kept would hold every value twice.
+    return checked.withColumn("_row", F.when(F.size("reasons") > 0, F.col("_row")))
 
 
 def enforce_schema(df: DataFrame, table: Table) -> tuple[DataFrame, DataFrame]:

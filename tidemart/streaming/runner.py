@@ -36,17 +36,18 @@ def write_batch(warehouse: Warehouse, feed: Feed, messages: DataFrame, batch_id:
         return held[-1]
 
     try:
-        parsed = hold(parse_tolerant_json(messages, paths=feed.paths))
+        parsed = parse_tolerant_json(messages, paths=feed.paths)
+        parsed = hold(parsed.withColumn("value", F.when(F.col("doc").isNull(), F.col("value"))))  # else as good as ``doc``
         bad = parsed.where(F.col("doc").isNull() & (F.trim("value") != "")).select("value")
         day = F.to_date("run_ts") if run_date is None else F.lit(run_date).cast("date")
         docs = parsed.where("doc is not null").withColumns(
             {"run_date": day, "run_ts": F.col("run_ts").cast("timestamp_ntz")}).drop("value")
-        stamp_row = parsed.select(F.unix_micros("run_ts")).first()  # one time for the whole batch
+        stamp_row = messages.select(F.unix_micros("run_ts")).first()  # one time for the whole batch; nothing is parsed for it
         if stamp_row is None:
             return
         newest = stamp_row[0]
         records = hold(feed.extract(docs))
-        raw = hold(check_schema(feed.to_raw(records), TABLES[feed.raw_table]))
+        raw = check_schema(feed.to_raw(records), TABLES[feed.raw_table])  # reading it again costs less than keeping it
         clean = hold(check_schema(feed.to_clean(records), TABLES[feed.clean_table]))
         _write(warehouse, feed, raw, clean, bad, batch, newest, audit)
     finally:
