@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemart.llm import alignment, exact_dedup, manifest, near_dedup, token_file
-from tidemart.llm.token_ids import ByteIds, PieceIds
+from tidemart.llm.token_ids import CHUNKS_KEPT, ByteIds, PieceIds, byte_ids
 
 BYTES, PIECES = public.path("byte_bpe_50k.json"), public.path("piece_bpe_32k.model")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, node string, `meta.x` string"
@@ -207,3 +207,13 @@ def test_columns_with_dots(spark):
     docs = spark.createDataFrame([(1, "a b c", "x"), (2, "a b c", "y"), (3, "d", "z")], "doc_id long, text string, `meta.x` string")
     for kept in (exact_dedup.exact_dedup(docs), near_dedup.near_dedup(docs)):
         assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3]
+
+
+def test_remembered_chunks_are_bounded():
+    """Two workers of an executor keep two generations each; the older one goes before the younger is copied."""
+    assert byte_ids(BYTES).kept <= 3 * CHUNKS_KEPT // 2
+    ids = ByteIds(BYTES, kept=2)
+    older = ids.older
+    for word in ("one", "two", "three", "four", "five", "six", "seven", "eight"):
+        ids.encode("the " + word)
+        assert ids.older is older and len(ids) <= 4 and len(older) <= 4
