@@ -217,3 +217,15 @@ def test_remembered_chunks_are_bounded():
     for word in ("one", "two", "three", "four", "five", "six", "seven", "eight"):
         ids.encode("the " + word)
         assert ids.older is older and len(ids) <= 4 and len(older) <= 4
+
+
+def test_chunks_over_line_ends_are_not_remembered():
+    from tokenizers import Tokenizer
+
+    tokens = byte_ids(BYTES)
+    assert tokens.kept <= 6 * CHUNKS_KEPT // 5
+    tokens.clear()
+    whole = Tokenizer.from_file(BYTES)
+    for text in ("one two.\nThree four", "a b.\n\nc d", "x é.\nÜber 1\n2 it's\nit's", "a don't\ndo ,\nb"):
+        assert tokens.encode(text) == np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert tokens and not any("\n" in chunk for chunk in tokens)

@@ -63,7 +63,10 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             more[:, :-step] = np.maximum(more[:, :-step], widest[reach][:, step:])
             reach += step
             widest[reach] = more
-        np.putmask(selector, widest[n][:, :BLOCK] <= BITS[s], s)
+        fits = widest[n][:, :BLOCK] <= int(BITS[s])  # a number of numpy would widen the comparison
+        if not fits.any():
+            break  # nor does any longer window, whose ids have fewer bits
+        selector[fits] = s
     # All blocks step from word to word at once.
     begins, jump = np.zeros(blocks * BLOCK, bool), COUNTS[selector].reshape(-1)
     at = np.arange(blocks) * BLOCK
@@ -78,12 +81,14 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     first = np.searchsorted(rows, np.arange(blocks))
     chosen = selector[rows, places]
     words = chosen.astype(np.uint64) << np.uint64(60)
+    flat, starts = padded.reshape(-1), rows * padded.shape[1] + places
     for s in range(2, len(COUNTS)):
         at = np.flatnonzero(chosen == s)
         if len(at):
-            slots = np.arange(COUNTS[s])
-            values = padded[rows[at, None], places[at, None] + slots]
-            words[at] |= np.bitwise_or.reduce(values << (slots * BITS[s]).astype(np.uint64), axis=1)
+            start, word = starts[at], words[at]
+            for slot in range(int(COUNTS[s])):
+                word |= flat[start + slot] << np.uint64(slot * int(BITS[s]))
+            words[at] = word
     return first.astype(np.uint64), words, escapes
 
 
