@@ -374,6 +374,17 @@ def test_passages_of_known_pieces(spark):
     assert {(r.doc_id, r.ref_id) for r in got} >= {(1000 * k + 101, 1000 * k + 100) for k in range(40)}
 
 
+def test_passages_whose_long_seeds_lie_in_earlier_documents(spark):
+    # Every seed, long ones too, first occurs in a document that has 45 of the 52 words, which is no passage.
+    rows = []
+    for k in range(20):
+        whole = words(6000 + k, 52).split()
+        rows += [(1000 * k + i, " ".join([words(300 + 2 * k + i, 40), *whole[7 * i:7 * i + 45], words(400 + 2 * k + i, 40)])) for i in (0, 1)]
+        rows += [(1000 * k + 100 + i, " ".join([words(9100 + 3 * k + i, 60), *whole, words(8100 + 3 * k + i, 60)])) for i in range(3)]
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.ref_id) for r in got} >= {(1000 * k + 100 + i, 1000 * k + 100) for k in range(20) for i in (1, 2)}
+
+
 def test_passage_beyond_differences():
     ref = list(range(1000, 1200))
     doc = [*range(50), *(w if i % 9 else -i - 1 for i, w in enumerate(ref)), *range(50, 99)]
