@@ -2,8 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from tidemart.operators.aggregates import gallery_urls
+from tidemart.operators.asof import right_edge
 from tidemart.operators.joins import listed_ids
-from tidemart.plans.gold import build_day, build_malls_daily
+from tidemart.plans.gold import _load, build_day, build_goods_daily, build_malls_daily, goods_history, rebuild_days
 from tidemart.schemas import TABLES
 from tidemart.sources.tables import Warehouse
 
@@ -67,3 +69,49 @@ def test_days_in_a_row_keep_stored_dates(spark, tmp_path):
            for r in lake.scan("dws_goods_daily").orderBy("date").collect()]
     assert got == [("2024-01-01", "2024-01-01", "2024-01-01", None), ("2024-01-02", "2024-01-01", "2024-01-01", "2024-01-02"),
                    ("2024-01-03", "2024-01-01", "2024-01-01", "later")]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def _products(spark):
+    """Empty tables but for a product on three days, with a gallery and SKUs."""
+    tables = {name: spark.createDataFrame([], TABLES[name].schema) for name in TABLES}
+    days = [row(spark, "dwd_goods_base", goodsId=1, siteId=1, date=day, title=day, skuList='{"a":{"stockQuantity":2,"isOnsale":1}}',
+                gallery='[{"url":"g2","priority":2},{"url":"g1","priority":1},{"url":"g1","priority":5}]')
+            for day in ("2024-01-01", "2024-01-02", "2024-01-04")]
+    tables["dwd_goods_base"] = days[0].unionAll(days[1]).unionAll(days[2])
+    return tables
+
+
+def test_an_edge_of_products_derives_no_figures(spark):
+    tables = _products(spark)
+    edge = right_edge(goods_history(tables, ("2024-01-01", "2024-01-02")))
+    assert "from_json" not in _plan(edge) and "get_json_object" not in _plan(edge)
+    assert [(str(r.date), str(r.firstCollectDate)) for r in edge.collect()] == [("2024-01-02", "2024-01-01")]
+
+
+def test_a_range_goes_on_from_an_edge_of_daily_columns(spark, tmp_path):
+    lake = Warehouse(spark, str(tmp_path / "wh"), files_per_day=1)
+    lake.upsert_latest(_products(spark)["dwd_goods_base"], "dwd_goods_base", "all", 1)
+    rebuild_days(lake, "goods", "2024-01-01", "2024-01-02", 1)
+    lake.write_edge(lake.read_edge("goods", "2024-01-02").drop("gallery").localCheckpoint(), "goods", "2024-01-02")
+    rebuild_days(lake, "goods", "2024-01-03", "2024-01-04", 1)
+    got = [(str(r.date), str(r.lastUpdateTime), str(r.firstAddTime), r.carouselImageUrls, r.stockQuantity)
+           for r in lake.scan("dws_goods_daily").orderBy("date").collect()]
+    assert got == [(day, day, "2024-01-01", '["g1","g2"]', 2) for day in ("2024-01-01", "2024-01-02", "2024-01-04")]
+
+
+def test_a_gallery_is_parsed_once(spark):
+    df = spark.createDataFrame([("[]",)], "t string").select(gallery_urls(F.col("t")).alias("v"))
+    assert _plan(df).count("from_json") == 2  # the list, and each of its entries
+
+
+def test_rows_that_lose_no_figure_are_not_kept(spark, tmp_path, monkeypatch):
+    tables, kept = _products(spark), []
+    monkeypatch.setattr(type(tables["dwd_goods_base"]), "persist", lambda df, level: kept.append(df) or df)
+    for n, build in enumerate((build_goods_daily, build_malls_daily)):
+        name = ("dws_goods_daily", "dws_malls_daily")[n]
+        _load(Warehouse(spark, str(tmp_path / name)), build(tables, None, lost=True), name, "b", 1, "w")
+        assert len(kept) == n

@@ -25,6 +25,14 @@ def once(value: Column) -> Column:
     return F.when(F.monotonically_increasing_id() >= 0, value)
 
 
+def shared(value: Column, use) -> Column:
+    """``use`` of a value that is computed once a row, however often it is mentioned.
+
+    Inside a function on lists or a value pinned by :func:`once` Spark would compute each mention anew.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def split_path(path: str) -> list[str]:
     return [step for step in _INDEX.sub(r".\1", path.strip()).split(".") if step]
 

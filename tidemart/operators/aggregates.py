@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions.jsonpath import once
+from tidemart.functions.jsonpath import once, shared
 from tidemart.operators.explode import json_structs
 
 
@@ -34,13 +34,15 @@ def ordered_json_list(items: Column) -> Column:
     ``items`` is an array of ``struct<url:string,priority:int>``. URLs without any priority come
     first. NULL when there is no URL.
     """
+    def listed(named: Column) -> Column:
+        ranked = F.array_sort(F.transform(
+            F.filter(named, lambda e: e.priority.isNotNull()), lambda e: F.struct(e.priority, e.url)))
+        bare = F.transform(F.filter(named, lambda e: e.priority.isNull()), lambda e: e.url)
+        return shared(F.array_distinct(F.transform(ranked, lambda e: e.url)),
+                      lambda ordered: F.concat(F.array_sort(F.array_except(bare, ordered)), ordered))
+
     named = F.filter(items, lambda e: F.coalesce(e.url != "", F.lit(False)))
-    ranked = F.array_sort(F.transform(
-        F.filter(named, lambda e: e.priority.isNotNull()), lambda e: F.struct(e.priority, e.url)))
-    ordered = F.array_distinct(F.transform(ranked, lambda e: e.url))
-    bare = F.transform(F.filter(named, lambda e: e.priority.isNull()), lambda e: e.url)
-    urls = F.concat(F.array_sort(F.array_except(bare, ordered)), ordered)
-    return F.when(F.size(urls) > 0, F.to_json(urls))
+    return shared(shared(named, listed), lambda urls: F.when(F.size(urls) > 0, F.to_json(urls)))
 
 
 def gallery_urls(gallery: Column) -> Column:

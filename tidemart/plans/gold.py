@@ -39,14 +39,18 @@ _MALL = ["mallId", "siteId"]
 
 
 def _shaped(df: DataFrame, table: str) -> DataFrame:
-    """The table's columns, and ``_lost``: figures that a column's type can't hold. They are NULL and don't stop the build."""
+    """The table's columns, and ``_lost``: figures that a column's type can't hold. They are NULL and don't stop the build.
+
+    Where every figure has its column's type there are none, and the metadata of ``_lost`` says so.
+    """
     schema = TABLES[table].schema
     lost = [
         F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(),
                F.concat(F.lit(f"{f.name}: "), F.col(f.name).cast("string"), F.lit(f" is no {f.dataType.simpleString()}")))
         for f in schema if isinstance(df.schema[f.name].dataType, T.NumericType) and df.schema[f.name].dataType != f.dataType]
     found = F.filter(F.array(*lost), lambda x: x.isNotNull()) if lost else F.array().cast("array<string>")
-    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema], found.alias("_lost"))
+    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema],
+                     found.alias("_lost", metadata={"none": not lost}))
 
 
 def _daily(build):
@@ -63,7 +67,8 @@ def _load(lake: Warehouse, rows: DataFrame, table: str, batch: str, seq: int, wr
     """Write the rows all of whose figures fit; the others go to the rejects with the figures that don't."""
     bad = F.size("_lost") > 0
     names = [name for name in rows.columns if name != "_lost"]
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)  # built once for both
+    if not rows.schema["_lost"].metadata["none"]:
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)  # built once for both
     try:
         lake.upsert_latest(rows.where(~bad).drop("_lost"), table, batch, seq, writer=writer)
         rejects = rows.where(bad).select(F.col("_lost").alias("reasons"), F.to_json(F.struct(*names)).alias("row"))
@@ -132,26 +137,38 @@ def _goods_increment(tables: Tables, biz_date) -> DataFrame:
     }), "dws_goods_daily")
 
 
+#: Columns of a product row that its daily rows come from.
+_GOODS_READ = (
+    "goodsId", "siteId", "date", "mallId", "optId", "catId", "title", "imageUrl", "thumbUrl", "image", "gallery", "skuList", "video",
+    "adultGoods", "goodsProperty", "salesNum", "selectedCurrency", "minOnSalePrice", "maxOnSalePrice", "goodsScore", "reviewNum",
+    "isOnsale")
+
+
 def _in_range(df: DataFrame, days) -> DataFrame:
     """Rows of the days from the first to the last given one, or all that have a day."""
     return df.where("date is not null") if days is None else df.where(F.col("date").between(*[F.lit(x).cast("date") for x in days]))
 
 
 def goods_history(tables: Tables, days=None, carry: DataFrame | None = None) -> DataFrame:
-    """Product rows with the days they hold for, in the history or in a range of days that goes on from ``carry``."""
+    """Product rows with the days they hold for, in the history or in a range of days that goes on from ``carry``.
+
+    The rows are as they were read, so that an edge costs no images and stock of rows that it doesn't hold.
+    """
     goods = _in_range(tables["dwd_goods_base"], days)
-    rows = goods.where("goodsId is not null and siteId is not null")
-    # Images and stock are derived once per source row, before it is repeated per day.
-    rows = _goods_figures(rows, ("imageUrl", "thumbUrl")).withColumns(
-        {"lastUpdateTime": F.col("date"), "firstCollectDate": F.col("date")})
-    types = TABLES["dws_goods_daily"].types
-    rows = rows.select(*[c for c in rows.columns if c in types], "firstCollectDate")
+    rows = goods.where("goodsId is not null and siteId is not null").withColumn("firstCollectDate", F.col("date"))
+    rows = rows.select(*[c for c in rows.columns if c in _GOODS_READ], "firstCollectDate")
+    if carry is not None and not set(rows.columns) <= set(carry.columns):  # an edge of daily columns, as they were once kept
+        carry = right_edge(goods_history(tables, _before(days[0])))
     return continued(rows, _GOODS, date_spine(goods), carry, {"firstCollectDate": "min"})
 
 
 def _goods_rows(tables: Tables, valid: DataFrame, days=None) -> DataFrame:
     """The daily rows of :func:`goods_history`."""
-    rows = enrich(valid.drop("date"), _kept(tables, "first_review"), _GOODS, text_keys=("goodsId",))
+    # Images and stock are derived once per source row, before it is repeated per day.
+    rows = _goods_figures(valid, ("imageUrl", "thumbUrl")).withColumn("lastUpdateTime", F.col("date")).drop("date")
+    types = TABLES["dws_goods_daily"].types
+    rows = rows.select(*[c for c in rows.columns if c in types], "firstCollectDate", "valid_from", "next_date")
+    rows = enrich(rows, _kept(tables, "first_review"), _GOODS, text_keys=("goodsId",))
     rows = expand_days(rows, date_spine(_in_range(tables["dwd_goods_base"], days)), "valid_from")
     known_review = F.when(F.col("firstReviewDate") <= F.col("stat_date"), F.col("firstReviewDate"))
     return _shaped(rows.withColumns({
