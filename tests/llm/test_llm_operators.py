@@ -1,5 +1,6 @@
 """The operators against brute force on small fixtures with nulls, empty texts, ties and clashing columns."""
 
+import pathlib
 import random
 import zlib
 from collections import defaultdict
@@ -20,7 +21,7 @@ from tidemart.llm import (
     topk,
     toxicity,
 )
-from tidemart.llm.common import word_count
+from tidemart.llm.common import shared_folder, word_count
 
 SCHEMA = "doc_id long, text string, lang string, source string, rank long, size string"
 
@@ -385,6 +386,43 @@ def test_passages_whose_long_seeds_lie_in_earlier_documents(spark):
     assert {(r.doc_id, r.ref_id) for r in got} >= {(1000 * k + 100 + i, 1000 * k + 100) for k in range(20) for i in (1, 2)}
 
 
+def test_passages_write_no_seeds(spark):
+    # Only what documents share is written to the shared folder, not every seed of every text.
+    def written():
+        return sum(f.stat().st_size for f in pathlib.Path(shared_folder(spark).removeprefix("file:")).rglob("*.parquet"))
+
+    shared, before = words(4, 60), written()
+    rows = [(i, words(40_000 + i, 3000) + (f" {shared}" if i < 2 else "")) for i in range(60)]
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r.doc_id, r.ref_id, r.first_word, r.end_word) for r in got] == [(1, 0, 3000, 3060)]
+    assert written() - before < 300_000  # of 120,000 short seeds
+
+
+def test_passages_of_a_very_frequent_line(spark):
+    shared = words(78, 60)
+    rows = [(7 + (i * 37) % 150, f"{words(600 + i, 30 + i % 9)} last{i} {shared}") for i in range(150)] * 2
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    assert sorted(r.doc_id for r in got if r.ref_id == 7) == list(range(8, 157)) and len(set(got)) == len(got)
+    assert all(r.end_word - r.first_word == r.words_equal == 60 and r.ref_id < r.doc_id for r in got)
+
+
+def test_chains_of_equal_scores():
+    # Up to 767 and up to 802 a chain gains the same: the longer one is taken, in whatever order the matches come.
+    pos = [754, 762, 764, 765, 767, 801, 802]
+    assert passages.chains(pos, pos) == [list(range(7))]
+    assert passages.chains(pos[::-1], pos[::-1]) == [list(range(6, -1, -1))]
+
+
+def test_straight_chains():
+    # Matches equally far apart are chained without the tree; another pair far off leads through it.
+    draw = random.Random(3)
+    for _ in range(300):
+        pos = [draw.randrange(draw.choice((30, 200, 800))) for _ in range(draw.randint(1, 20))]
+        ref = [p + 5 for p in pos]
+        whole = passages.chains([*pos, 90_000], [*ref, 10_000])
+        assert sorted(passages.chains(pos, ref)) == sorted(c for c in whole if c != [len(pos)])
+
+
 def test_passage_beyond_differences():
     ref = list(range(1000, 1200))
     doc = [*range(50), *(w if i % 9 else -i - 1 for i, w in enumerate(ref)), *range(50, 99)]
