@@ -6,6 +6,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -406,6 +407,16 @@ def test_passages_of_a_very_frequent_line(spark):
     assert all(r.end_word - r.first_word == r.words_equal == 60 and r.ref_id < r.doc_id for r in got)
 
 
+def test_word_hashes_of_many_texts():
+    texts = ["", " \t\n", "One\x0btwo  one\r\n", "a\x1cb \x85 \xa0\u00c9 Z", " " + words(1, 40) + " ", "x"]
+    hashes, sizes = passages.word_hashes(pa.array(texts))
+    known = passages.Words()
+    assert sizes.tolist() == [0, 0, 3, 4, 40, 1]
+    assert hashes.tolist() == [h for text in texts for h in known(text).tolist()]
+    text, _, at, wide = passages.seeds(hashes, sizes)
+    assert set(text.tolist()) == {4} and at.max() <= 34 and wide.any()
+
+
 def test_chains_of_equal_scores():
     # Up to 767 and up to 802 a chain gains the same: the longer one is taken, in whatever order the matches come.
     pos = [754, 762, 764, 765, 767, 801, 802]
