@@ -451,3 +451,62 @@ def test_fuzzy_passages(spark):
         rows += [(2 * k + i, " ".join([words(8000 + 2 * k + i, 70), *body, words(9000 + 2 * k + i, 70)])) for i, body in enumerate((ref, doc))]
     got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert len({(r.doc_id, r.ref_id) for r in got} & {(2 * k + 1, 2 * k) for k in range(60)}) >= 48
+
+
+def test_whole_passages_beyond_earlier_documents(spark):
+    # The last 700 of 1,000 common words first occur in a third document: the passage is no shorter for that.
+    whole = words(31, 1000)
+    rows = [(1, f"{words(32, 40)} {whole.split(' ', 300)[300]} {words(33, 40)}"), (2, f"{words(34, 60)} {whole} {words(35, 30)}"),
+            (3, f"{words(36, 50)} {whole} {words(37, 20)}")]
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.first_word, r.end_word, r.ref_id, r.ref_first_word, r.ref_end_word) for r in got} == {
+        (2, 360, 1060, 1, 40, 740), (3, 350, 1050, 1, 40, 740), (3, 50, 1050, 2, 60, 1060)}
+
+
+def test_passages_of_repeated_lines(spark):
+    # Every run of 50 words that an earlier document has lies in a passage, also where lines come several times.
+    draw, rows = random.Random(8), []
+    lines = [words(500 + k, draw.choice((1, 5, 9, 20, 34))) for k in range(8)]
+    for i in range(30):
+        body = [" ".join([draw.choice(lines)] * draw.randint(1, 30)) for _ in range(3)]
+        rows.append((i, " ".join([words(3000 + i, 15), *body, words(4000 + i, 15)])))
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    earlier, missed = set(), []
+    for i, text in rows:
+        split = text.split()
+        runs = [tuple(split[k:k + 50]) for k in range(len(split) - 49)]
+        spans = [(r.first_word, r.end_word) for r in got if r.doc_id == i]
+        missed += [(i, k) for k, run in enumerate(runs) if run in earlier and not any(a <= k and k + 50 <= b for a, b in spans)]
+        earlier.update(runs)
+    assert not missed
+
+
+def test_fuzzy_passages_whose_seeds_lie_in_earlier_documents(spark):
+    # Earlier documents hold every stretch of 25 words; no 50 words in a row are equal.
+    draw, rows = random.Random(5), []
+    for k in range(30):
+        ref = words(2000 + k, 80).split()
+        doc = list(ref)
+        for i in range(12, 80, 14):
+            doc[i + draw.randrange(-3, 4)] = f"changed{i}"
+        rows += [(1000 * k + i, " ".join([words(50 * k + i, 30), *(ref, doc)[i % 2][i:i + 25], words(50 * k + i + 9000, 30)]))
+                 for i in [*range(0, 56, 8), *range(1, 56, 8)]]
+        rows += [(1000 * k + 100 + i, " ".join([words(300_000 + 2 * k + i, 60), *body, words(400_000 + 2 * k + i, 60)]))
+                 for i, body in enumerate((ref, doc))]
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.ref_id) for r in got} >= {(1000 * k + 101, 1000 * k + 100) for k in range(30)}
+
+
+def test_passages_on_either_side_of_a_difference(spark):
+    # Together they are too unlike, each of them is a passage.
+    rows = []
+    for k in range(10):
+        texts = []
+        for i in (0, 1):
+            body = [words(100 + 2 * k + j, 60).split() for j in (0, 1)]
+            for part in body[:2 * i]:
+                part[20] = part[40] = "changed"
+            texts.append(" ".join([words(5000 + 2 * k + i, 30), *body[0], words(6000 + 2 * k + i, 38), *body[1], words(7000 + 2 * k + i, 30)]))
+        rows += [(2 * k + i, text) for i, text in enumerate(texts)]
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.first_word, r.end_word) for r in got} == {(2 * k + 1, *span) for k in range(10) for span in ((30, 90), (128, 188))}
